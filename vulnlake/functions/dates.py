@@ -14,36 +14,30 @@ _FRACTION = r"(?:[.,][0-9]+)?"
 _TIME = rf"(?:{_HH}(?::{_MM}(?::{_MM}{_FRACTION})?)?|{_HH}(?:{_MM}(?:{_MM}{_FRACTION})?)?)"
 _OFFSET = rf"(?:Z|[+-]{_HH}(?::?{_MM}(?::?{_MM}(?:[.][0-9]+)?)?)?)"
 
-_NAIVE = rf"\A{_DATE}(?:[^Z]{_TIME})?\z"
 _AWARE = rf"\A{_DATE}[^Z]{_TIME}{_OFFSET}\z"
+_ANY = rf"\A{_DATE}(?:[^Z]{_TIME}{_OFFSET}?)?\z"
+_WEEK_DATE = r"\A[0-9]{4}-?W"
 
 
-def _real_day(text: Column) -> Column:
-    """Does the leading date exist in the calendar? Week dates are checked by pattern alone."""
-    compact = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
-    day = F.when(text.rlike(r"\A[0-9]{8}"), compact).otherwise(F.substring(text, 1, 10))
-    return text.rlike(r"\A[0-9]{4}-?W") | day.try_cast("date").isNotNull()
+def _matches(text: Column, pattern: str) -> Column:
+    """Does the text have the form, and does its leading date exist in the calendar?
 
-
-def is_naive_iso(col: Column) -> Column:
-    text = strip(col)
-    return F.coalesce(text.rlike(_NAIVE) & _real_day(text), F.lit(False))
+    Week dates are checked by form alone.
+    """
+    day = F.regexp_replace(F.substring(text, 1, 10), r"\A([0-9]{4})([0-9]{2})([0-9]{2}).*", "$1-$2-$3")
+    return F.coalesce(text.rlike(pattern) & (day.try_cast("date").isNotNull() | text.rlike(_WEEK_DATE)), F.lit(False))
 
 
 def is_iso8601(col: Column) -> Column:
     """ISO-8601 date and time that carries a UTC offset."""
-    text = strip(col)
-    return F.coalesce(text.rlike(_AWARE) & _real_day(text), F.lit(False))
+    return _matches(strip(col), _AWARE)
 
 
 def with_offset(col: Column) -> Column:
     """Naive ISO text gets ``+00:00``; aware text is stripped; anything else is unchanged."""
     text = strip(col)
-    return (
-        F.when(is_naive_iso(col), F.concat(text, F.lit("+00:00")))
-        .when(is_iso8601(col), text)
-        .otherwise(col)
-    )
+    offset = F.when(text.rlike(_AWARE), F.lit("")).otherwise(F.lit("+00:00"))
+    return F.when(_matches(text, _ANY), F.concat(text, offset)).otherwise(col)
 
 
 def to_instant(col: Column) -> Column:
