@@ -23,8 +23,8 @@ def strip(col: Column) -> Column:
 
 
 def is_blank(col: Column) -> Column:
-    """Null, empty or whitespace only."""
-    return col.isNull() | (strip(col) == "")
+    """Null, empty or whitespace only. Trimming the left end alone stops at the first real character."""
+    return col.isNull() | (F.ltrim(col, F.lit(WHITESPACE)) == "")
 
 
 def nullify(col: Column) -> Column:
