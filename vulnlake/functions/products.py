@@ -22,22 +22,21 @@ def parse_cpe(col: Column, escaped: bool = False) -> Column:
     their thirteen parts; by default such names count as invalid.
     """
     text = strip(col)
-    parts = F.split(text, _UNESCAPED_COLON if escaped else ":")
-    ok = F.coalesce(text.startswith(CPE_PREFIX) & (F.size(parts) == CPE_PARTS), F.lit(False))
+    split = F.split(text, _UNESCAPED_COLON if escaped else ":")
+    parts = F.when(text.startswith(CPE_PREFIX) & (F.size(split) == CPE_PARTS), split)
 
     def part(index: int) -> Column:
-        return F.when(ok, F.try_element_at(parts, F.lit(index))).otherwise(F.lit(""))
+        return F.coalesce(F.try_element_at(parts, F.lit(index)), F.lit(""))
 
     def value(index: int) -> Column:
-        raw = part(index)
-        return F.when(raw.isin(CPE_NO_VALUE), F.lit("")).otherwise(raw)
+        return F.when(part(index).isin(CPE_NO_VALUE), F.lit("")).otherwise(part(index))
 
     return F.struct(
         value(4).alias("vendor"),
         value(5).alias("product"),
         value(6).alias("version"),
         part(3).alias("part"),
-        F.when(ok, text).otherwise(F.lit("")).alias("cpe_uri"),
+        F.when(parts.isNotNull(), text).otherwise(F.lit("")).alias("cpe_uri"),
     )
 
 
@@ -67,9 +66,7 @@ def affected_status(entries: Column) -> Column:
     The status "unknown" is one of the placeholder words, so it never survives
     cleaning and reads as an empty text.
     """
-    statuses = F.transform(entries, lambda d: F.lower(clean_placeholder(d["defaultStatus"])))
-    return (
-        F.when(F.array_contains(statuses, "affected"), F.lit("affected"))
-        .when(F.array_contains(statuses, "unaffected"), F.lit("unaffected"))
-        .otherwise(F.lit(""))
-    )
+    # Each entry's rank is its position in this list; the highest one speaks for the record.
+    names = F.array(*[F.lit(n) for n in ("", "unaffected", "affected")])
+    ranks = F.transform(entries, lambda d: F.array_position(names, F.lower(clean_placeholder(d["defaultStatus"]))))
+    return F.element_at(names, F.greatest(F.coalesce(F.array_max(ranks), F.lit(1)), F.lit(1)).cast("int"))

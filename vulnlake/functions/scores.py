@@ -21,11 +21,8 @@ def normal_severity(col: Column) -> Column:
 
 def severity_rank(col: Column) -> Column:
     """Rank of a severity name whatever its case and padding; null when unknown."""
-    name = normal_severity(col)
-    rank = F.lit(None).cast("int")
-    for text, value in SEVERITY_RANKS.items():
-        rank = F.when(name == text, F.lit(value)).otherwise(rank)
-    return rank
+    names = F.array(*[F.lit(n) for n in SEVERITY_RANKS])  # listed by rank
+    return (F.nullif(F.array_position(names, normal_severity(col)), F.lit(0)) - 1).cast("int")
 
 
 def severity_bucket(col: Column) -> Column:
