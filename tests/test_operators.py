@@ -72,17 +72,19 @@ def test_duplicate_ids(spark):
 def test_insert_if_absent(spark):
     new = spark.createDataFrame([("a", 2), ("a", 1), ("b", 1), ("c", 1)], "id string, o int")
     stored = spark.createDataFrame([("b", 0), ("z", 0)], "id string, o int")
-    got = dedupe.insert_if_absent(new, stored, "id", [F.col("o")])
-    assert sorted(tuple(r) for r in got.collect()) == [("a", 1), ("c", 1)]
+    for few in (False, True):
+        got = dedupe.insert_if_absent(new, stored, "id", [F.col("o")], few)
+        assert sorted(tuple(r) for r in got.collect()) == [("a", 1), ("c", 1)]
 
 
 def test_upsert_latest(spark):
     schema = "id string, v int, note string"
     base = spark.createDataFrame([("a", 1, "old"), ("b", 5, "kept"), ("c", 1, "untouched")], schema)
     inc = spark.createDataFrame([("a", 2, "new"), ("b", 4, "stale"), ("d", 1, "first"), ("d", 2, "second")], schema)
-    got = dedupe.upsert_latest(base, inc, "id", F.col("v"), [F.col("note")])
-    assert {r["id"]: r["note"] for r in got.collect()} == {"a": "new", "b": "kept", "c": "untouched", "d": "second"}
-    assert got.count() == 4
+    for few in (False, True):
+        got = dedupe.upsert_latest(base, inc, "id", F.col("v"), [F.col("note")], few)
+        assert {r["id"]: r["note"] for r in got.collect()} == {"a": "new", "b": "kept", "c": "untouched", "d": "second"}
+        assert got.count() == 4
 
 
 # ---------------------------------------------------------------- quality

@@ -14,6 +14,14 @@ from vulnlake.functions.dates import to_instant
 
 _RANK = "_rank"
 
+# Most keys a caller may declare few: short identifiers of this number fit a broadcast easily.
+FEW_KEYS = 500_000
+
+
+def _distributed(keys: DataFrame, few: bool) -> DataFrame:
+    """Broadcast keys the caller has counted; otherwise leave the choice to measured sizes."""
+    return F.broadcast(keys) if few else keys
+
 
 def first_per(df: DataFrame, keys: list[str | Column], order: list[Column]) -> DataFrame:
     """First row per key in an explicit order. Give a total order for a repeatable result."""
@@ -66,26 +74,31 @@ def duplicate_ids(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def insert_if_absent(new: DataFrame, stored: DataFrame, key: str, order: list[Column]) -> DataFrame:
+def insert_if_absent(
+    new: DataFrame, stored: DataFrame, key: str, order: list[Column], few: bool = False
+) -> DataFrame:
     """Rows of ``new`` whose key is not stored yet, one per key, the first in ``order``.
 
     The stored side is only asked which of the new keys it holds. That answer is
     never larger than ``new``, so it, not the ever-growing store, is what the
-    anti-join has to distribute; Spark broadcasts either side when its measured
-    size allows.
+    anti-join has to distribute. ``few`` says that ``new`` has been counted and
+    has at most FEW_KEYS rows: then the store is scanned where it lies, unshuffled.
     """
     fresh = first_per(new, [key], order)
-    held = stored.select(key).join(fresh.select(key), key, "left_semi").distinct()
-    return fresh.join(held, key, "left_anti")
+    held = stored.select(key).join(_distributed(fresh.select(key), few), key, "left_semi").distinct()
+    return fresh.join(_distributed(held, few), key, "left_anti")
 
 
-def upsert_latest(base: DataFrame, increment: DataFrame, key: str, version: Column, ties: list[Column]) -> DataFrame:
+def upsert_latest(
+    base: DataFrame, increment: DataFrame, key: str, version: Column, ties: list[Column], few: bool = False
+) -> DataFrame:
     """The base with an increment merged in, newest row per key.
 
     Base rows the increment does not touch pass through; only contested keys are
-    ranked. With an increment small enough to broadcast the base is not shuffled.
+    ranked. With ``few`` counted keys, or where the measured size allows a
+    broadcast, the base is not shuffled.
     """
-    keys = increment.select(key).distinct()
+    keys = _distributed(increment.select(key).distinct(), few)
     untouched = base.join(keys, key, "left_anti")
     contested = base.join(keys, key, "left_semi").unionByName(increment)
     return untouched.unionByName(latest_wins(contested, key, version, ties))
