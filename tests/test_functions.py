@@ -180,7 +180,7 @@ def test_bad_date_is_null(evaluate):
 
 def test_redact_uri(evaluate):
     cases = {
-        "mongodb://user:secret@Host:27017/db?x=1": "mongodb://host:27017",
+        "store://user:secret@Host:27017/db?x=1": "store://host:27017",
         "https://h.example/path@x": "https://h.example",
         "https://a@b@h.example:080/": "https://h.example:80",
         "http://h:0/": "http://h",

@@ -93,7 +93,7 @@ SELECT cve_id AS id, order_no, line_no, part_no, supp_no, price, source_identifi
   has31, has30, has2, has40, k, vector, severity AS own_severity
 FROM parsed)"""
 
-CLEANED = f"""cve_id, published, cast(published_ts AS date) AS published_date, cast(year(published_ts) AS bigint) AS year,
+CLEANED = f"""cve_id, published, cast(cast(published_ts AS date) AS varchar) AS published_date, cast(year(published_ts) AS bigint) AS year,
   cast(month(published_ts) AS bigint) AS month, cast(quarter(published_ts) AS bigint) AS quarter,
   cast(date_diff('day', cast(published_ts AS date), DATE '2002-01-01') AS bigint) AS days_since_published,
   last_modified, vuln_status, description_en, cvss_version, cvss_score, severity, cast({RANK} AS bigint) AS severity_rank,
@@ -256,7 +256,7 @@ SQL: dict[str, str] = {
   WHEN order_no % 7 = 5 THEN 'Null' ELSE nullif(vendor, '') END AS value, count(*) AS records FROM records GROUP BY ALL""",
     ),
     "latest_wins": w(
-        RECORDS, VALID, LATEST, select=f"SELECT cve_id, cast(last_modified AS date) AS last_modified, {ROW_KEY}, price FROM latest"
+        RECORDS, VALID, LATEST, select=f"SELECT cve_id, cast(cast(last_modified AS date) AS varchar) AS last_modified, {ROW_KEY}, price FROM latest"
     ),
     "duplicate_ids": w(RECORDS, select="SELECT cve_id, count(*) AS copies FROM records GROUP BY cve_id HAVING count(*) > 1 ORDER BY cve_id"),
     "quality_counts": w(
@@ -285,11 +285,11 @@ SQL: dict[str, str] = {
     "date_range": w(
         RECORDS, LOADED,
         select="""SELECT strftime(min(published), '%Y-%m-%d %H:%M:%S') AS min_published, strftime(max(published), '%Y-%m-%d %H:%M:%S') AS max_published,
-  min(published_date) AS min_published_date, max(published_date) AS max_published_date FROM loaded""",
+  cast(min(published_date) AS varchar) AS min_published_date, cast(max(published_date) AS varchar) AS max_published_date FROM loaded""",
     ),
     "date_parts": w(
         RECORDS,
-        select=f"""SELECT cve_id, {ROW_KEY}, d AS published_date, cast(year(d) AS bigint) AS year, cast(month(d) AS bigint) AS month,
+        select=f"""SELECT cve_id, {ROW_KEY}, cast(d AS varchar) AS published_date, cast(year(d) AS bigint) AS year, cast(month(d) AS bigint) AS month,
   cast(quarter(d) AS bigint) AS quarter, cast(date_diff('day', d, DATE '2002-01-01') AS bigint) AS days_since_published
 FROM (SELECT *, CASE WHEN order_no % 31 <> 0 THEN cast(published AS date) END AS d FROM records)""",
     ),
@@ -346,7 +346,7 @@ FROM records WHERE vendor IS NOT NULL AND vendor <> '' GROUP BY vendor ORDER BY
         RECORDS, LOADED,
         "spine AS (SELECT i AS chunk, cast(DATE '1995-03-01' + cast(i * 120 AS integer) AS date) AS chunk_start, "
         "cast(least(DATE '1995-03-01' + cast(i * 120 + 119 AS integer), DATE '2001-03-31') AS date) AS chunk_end FROM range(19) t(i))",
-        select="""SELECT chunk, chunk_start, chunk_end, (SELECT count(*) FROM loaded WHERE published_date BETWEEN chunk_start AND chunk_end) AS records FROM spine
+        select="""SELECT chunk, cast(chunk_start AS varchar) AS chunk_start, cast(chunk_end AS varchar) AS chunk_end, (SELECT count(*) FROM loaded WHERE published_date BETWEEN chunk_start AND chunk_end) AS records FROM spine
 UNION ALL SELECT NULL, NULL, NULL, count(*) FROM loaded
 WHERE published_date IS NULL OR published_date NOT BETWEEN DATE '1995-03-01' AND DATE '2001-03-31'""",
     ),
@@ -377,7 +377,7 @@ FROM ({PUB_SPINE}) s(w) LEFT JOIN counts c ON s.w = c.w""",
     "dim_severity": _dim("severity", "MISSING"),
     "dim_date": w(
         RECORDS, LOADED,
-        select=f"SELECT {_key('published_date')} AS date_key, * FROM (SELECT DISTINCT published_date, year, month, quarter FROM loaded)",
+        select=f"SELECT {_key('published_date')} AS date_key, * REPLACE (cast(published_date AS varchar) AS published_date) FROM (SELECT DISTINCT published_date, year, month, quarter FROM loaded)",
     ),
     "star_fact": w(
         RECORDS, LOADED,
@@ -427,7 +427,7 @@ FROM ({PUB_SPINE}) s(w) LEFT JOIN counts c ON s.w = c.w""",
     ),
     "incremental_upsert": w(
         RECORDS, VALID,
-        select=f"""SELECT cve_id, cast(last_modified AS date) AS last_modified, {ROW_KEY} FROM (
+        select=f"""SELECT cve_id, cast(cast(last_modified AS date) AS varchar) AS last_modified, {ROW_KEY} FROM (
   SELECT *, row_number() OVER (PARTITION BY cve_id ORDER BY {NEWEST}) AS rn FROM valid WHERE last_modified < TIMESTAMP '1999-04-01') WHERE rn = 1""",
     ),
     "feed_flatten": w(

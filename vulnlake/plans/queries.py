@@ -1,7 +1,7 @@
 """Registered queries: one per operator, over the whole driver tables.
 
-Integers are widened and timestamps shown as text only so that results compare
-by value with the oracle engine.
+Integers are widened, and dates and timestamps shown as text, only so that
+results compare by value with the oracle engine.
 """
 
 from __future__ import annotations
@@ -41,16 +41,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def big(*names: str) -> list[Column]:
-    return [F.col(n).cast("bigint").alias(n) for n in names]
-
-
 def widen(df: DataFrame) -> DataFrame:
-    """All integers as bigint."""
-    kinds = (T.IntegerType, T.ShortType, T.ByteType)
-    return df.select(
-        *[F.col(f.name).cast("bigint").alias(f.name) if isinstance(f.dataType, kinds) else F.col(f.name) for f in df.schema.fields]
-    )
+    """All integers as bigint, dates as text."""
+    kinds = {T.IntegerType: "bigint", T.DateType: "string"}
+    shown = {f.name: kinds.get(type(f.dataType)) for f in df.schema.fields}
+    return df.select(*[F.col(c).cast(kind).alias(c) if kind else F.col(c) for c, kind in shown.items()])
 
 
 def valid_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,7 +170,7 @@ def q_source_classes(spark, sf_dir):
 def q_date_range(spark, sf_dir):
     df = quality.date_range(loaded(spark, sf_dir))
     pattern = "yyyy-MM-dd HH:mm:ss"
-    return df.withColumns({c: F.date_format(c, pattern) for c in ("min_published", "max_published")})
+    return widen(df.withColumns({c: F.date_format(c, pattern) for c in ("min_published", "max_published")}))
 
 
 @query
