@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vulnlake.llm import common, exact_dedup, quality_rules, sharding
+from vulnlake.llm import bpe, common, exact_dedup, quality_rules, sharding
 
 SHARDS = 40
 SHARD_SEED = "shard"
+VOCABULARY = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +54,12 @@ def op8_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded again."""
+    tables = bpe.share(spark, public_tokenizers.path(VOCABULARY))
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tables)
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_interleaved_shards, op4_digest_index, op8_rule_ledger)
+    f.__name__: f for f in (op2_interleaved_shards, op4_digest_index, op8_rule_ledger, op10_rank_array_bpe)
 }
