@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vulnlake.llm import bpe, common, exact_dedup, quality_rules, sharding
+from vulnlake.llm import bpe, common, exact_dedup, near_dedup, quality_rules, sharding
 
 SHARDS = 40
 SHARD_SEED = "shard"
@@ -54,6 +54,11 @@ def op8_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: three words, a similarity of 0.85 or more."""
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), "doc_id", "text", size=3, percent=85)
+
+
 def op10_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded again."""
     tables = bpe.share(spark, public_tokenizers.path(VOCABULARY))
@@ -61,5 +66,5 @@ def op10_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_interleaved_shards, op4_digest_index, op8_rule_ledger, op10_rank_array_bpe)
+    f.__name__: f for f in (op2_interleaved_shards, op4_digest_index, op8_rule_ledger, op9_super_minhash, op10_rank_array_bpe)
 }
