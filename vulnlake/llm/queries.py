@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vulnlake.llm import bpe, common, exact_dedup, near_dedup, quality_rules, sharding
+from vulnlake.llm import bpe, common, exact_dedup, license_scan, near_dedup, quality_rules, sharding, warc
 
 SHARDS = 40
 SHARD_SEED = "shard"
@@ -43,6 +43,20 @@ def op4_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.decide(rows).select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op6_diagonal_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases and license templates in all documents."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op7_gzip_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to whole-stream archives, normalised to a member per record, and read back by offset."""
+    folder = common.scratch(spark, "warc")
+    rows = warc.assigned(table(spark, sf_dir, "pages"))
+    whole = common.stage(warc.written(rows, f"{folder}/whole"), f"{folder}/whole-manifest")
+    single = common.stage(warc.normalised(warc.spread(whole), f"{folder}/members"), f"{folder}/members-manifest")
+    return warc.read_back(warc.spread(single)).drop("url")
+
+
 def op8_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of all documents, judged by the newest policy."""
     rows = common.stage(quality_rules.ledger(table(spark, sf_dir, "documents")), common.scratch(spark, "ledger"))
@@ -66,5 +80,5 @@ def op10_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_interleaved_shards, op4_digest_index, op8_rule_ledger, op9_super_minhash, op10_rank_array_bpe)
+    f.__name__: f for f in (op2_interleaved_shards, op4_digest_index, op6_diagonal_votes, op7_gzip_normaliser, op8_rule_ledger, op9_super_minhash, op10_rank_array_bpe)
 }
