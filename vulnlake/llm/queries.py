@@ -8,17 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vulnlake.llm import bpe, common, exact_dedup, license_scan, near_dedup, quality_rules, sharding, warc
+from vulnlake.llm import bpe, common, exact_dedup, license_scan, mixing, near_dedup, quality_rules, sharding, warc
 
 SHARDS = 40
 SHARD_SEED = "shard"
 VOCABULARY = "word_bpe_49k.json"
+#: Target tokens of each domain as a multiple of what it has.
+MIXTURE = {"clean": 1.1, "low": 0.5, "toxic": 0.1}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_soft_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posterior, rate and copies of every document under the target mixture of the labelled domains."""
+    rows = mixing.mixed(table(spark, sf_dir, "documents"), mixing.domains_of(table(spark, sf_dir, "labels")), MIXTURE)
+    return rows.select("doc_id", "tokens", "posterior", "rate", "copies")
+
+
 def op2_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of nearly equal counts, each with the mixture of sources of the whole table."""
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
@@ -80,5 +88,5 @@ def op10_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_interleaved_shards, op4_digest_index, op6_diagonal_votes, op7_gzip_normaliser, op8_rule_ledger, op9_super_minhash, op10_rank_array_bpe)
+    f.__name__: f for f in (op1_soft_mixture, op2_interleaved_shards, op4_digest_index, op6_diagonal_votes, op7_gzip_normaliser, op8_rule_ledger, op9_super_minhash, op10_rank_array_bpe)
 }
