@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vulnlake.llm import bpe, common, exact_dedup, license_scan, mixing, near_dedup, quality_rules, sharding, warc
+from vulnlake.llm import bpe, chat_format, common, exact_dedup, license_scan, mixing, near_dedup, quality_rules, secret_scan, sharding, warc
 
 SHARDS = 40
 SHARD_SEED = "shard"
@@ -39,6 +39,24 @@ def op2_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_forest_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All secret candidates of all documents with the forest's verdict; values are given as digests only.
+
+    Labelled findings are those in documents of the labelled table, labelled by known key forms.
+    """
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = common.stage(secret_scan.candidates(documents), common.scratch(spark, "candidates"))
+    grams = common.stage(secret_scan.dictionary(documents), common.scratch(spark, "dictionary"))
+    findings = common.stage(secret_scan.described(found, grams), common.scratch(spark, "findings"))
+    known = table(spark, sf_dir, "labels").select("doc_id").distinct()
+    labelled = findings.join(known, "doc_id", "left_semi").withColumn("label", secret_scan.rule_label())
+    out = secret_scan.scored(findings, labelled)
+    return out.select(
+        "doc_id", "word_no", "run_no", "path", F.length("value").alias("value_length"), F.sha2("value", 256).alias("value_sha256"),
+        "dictionary", "named", "assigned", F.round("probability", 6).alias("probability"), "is_secret",
+    )
+
+
 def op4_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies by the digest index, filled in two batches: the lower half of the ids, then the rest."""
     rows = common.stage(exact_dedup.digests(table(spark, sf_dir, "documents")), common.scratch(spark, "digests"))
@@ -51,6 +69,12 @@ def op4_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.decide(rows).select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as preference pairs against their garbled last answers: prompt and masked completions, a row per turn."""
+    chosen, rejected = chat_format.against_garbled(table(spark, sf_dir, "conversations"))
+    return chat_format.formatted(chosen, rejected)
+
+
 def op6_diagonal_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Phrases and license templates in all documents."""
     return license_scan.scan(table(spark, sf_dir, "documents"))
@@ -88,5 +112,5 @@ def op10_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_soft_mixture, op2_interleaved_shards, op4_digest_index, op6_diagonal_votes, op7_gzip_normaliser, op8_rule_ledger, op9_super_minhash, op10_rank_array_bpe)
+    f.__name__: f for f in (op1_soft_mixture, op2_interleaved_shards, op3_forest_secrets, op4_digest_index, op5_preference_format, op6_diagonal_votes, op7_gzip_normaliser, op8_rule_ledger, op9_super_minhash, op10_rank_array_bpe)
 }
