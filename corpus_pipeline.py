@@ -11,6 +11,9 @@ from vulnlake.llm import common, stages
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", stages.quality),
     ("exact_dedup", stages.exact),
+    ("near_dedup", stages.near),
+    ("mixing", stages.mixture),
+    ("bpe", stages.encode),
 ]
 
 #: The stages hash words, fit a model and encode with a vocabulary file, which SQL cannot express.

@@ -29,6 +29,7 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
+VOCABULARY = "word_bpe_49k.json"
 SHORT = 32
 CACHE_WORDS = 200_000
 NONE = np.int32(2**31 - 1)
@@ -282,6 +283,11 @@ def _chunks(texts: list[str | None]) -> Iterator[list[str | None]]:
         yield part
 
 
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int32)))
+
+
 def encoded(df: DataFrame, tables: Broadcast, text: str = "text", into: str = "ids") -> DataFrame:
     """``df`` with the ids of each text as an array."""
 
@@ -289,9 +295,7 @@ def encoded(df: DataFrame, tables: Broadcast, text: str = "text", into: str = "i
         encoder = Encoder(tables.value)
         for batch in source:
             rows = [x for part in _chunks(batch.column(text).to_pylist()) for x in encoder.encode(part)]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int32)
-            flat = pa.array(np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends), flat)], [*batch.schema.names, into])
+            yield pa.RecordBatch.from_arrays([*batch.columns, _lists(rows)], [*batch.schema.names, into])
 
     return df.mapInArrow(batches, ", ".join([f"`{c}` {t}" for c, t in df.dtypes] + [f"`{into}` array<int>"]))
 
@@ -308,23 +312,31 @@ def decoded(df: DataFrame, tables: Broadcast, ids: str = "ids", into: str = "dec
     return df.mapInArrow(batches, ", ".join([f"`{c}` {t}" for c, t in df.dtypes] + [f"`{into}` string"]))
 
 
-def round_trip(df: DataFrame, tables: Broadcast, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per text: the number of ids, the digest of the ids, and the digest of what they decode to; one pass."""
+def round_trip(df: DataFrame, tables: Broadcast, key: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
+    """Per text: the number of ids, the digest of the ids, and the digest of what they decode to; one pass.
+
+    ``keep_ids`` adds the ids themselves.
+    """
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tables.value)
         tokens = encoder.t["tokens"]
         shown = [str(i) for i in range(len(tokens))]
         for batch in source:
-            sizes, ids_digests, text_digests = [], [], []
+            sizes, ids_digests, text_digests, kept = [], [], [], []
             for part in _chunks(batch.column(text).to_pylist()):
                 for ids in encoder.encode(part):
                     numbers = ids.tolist()
+                    if keep_ids:
+                        kept.append(ids)
                     sizes.append(len(numbers))
                     ids_digests.append(hashlib.sha256(" ".join(map(shown.__getitem__, numbers)).encode()).hexdigest())
                     text_digests.append(hashlib.sha256(decode_ids(tokens, numbers).encode()).hexdigest())
             columns = [batch.column(key), pa.array(sizes, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(text_digests, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [key, "n_tokens", "ids_sha256", "decoded_sha256"])
+            names = [key, "n_tokens", "ids_sha256", "decoded_sha256"]
+            if keep_ids:
+                columns, names = [*columns, _lists(kept)], [*names, "ids"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = dict(df.dtypes)[key]
-    return df.select(key, text).mapInArrow(batches, f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return df.select(key, text).mapInArrow(batches, f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)

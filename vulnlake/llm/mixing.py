@@ -34,6 +34,8 @@ LEAST_DOCUMENTS = 4
 #: Labelled documents the classifier is fitted on, at most: those with the smallest hashes of the id.
 TRAIN_ROWS = 20_000
 WRITE_EVERY = 8
+#: The registered mixture: target tokens of each domain as a multiple of what it has.
+MIXTURE = {"clean": 1.1, "low": 0.5, "toxic": 0.1}
 
 
 @dataclass

@@ -12,9 +12,6 @@ from vulnlake.llm import bpe, chat_format, common, exact_dedup, license_scan, mi
 
 SHARDS = 40
 SHARD_SEED = "shard"
-VOCABULARY = "word_bpe_49k.json"
-#: Target tokens of each domain as a multiple of what it has.
-MIXTURE = {"clean": 1.1, "low": 0.5, "toxic": 0.1}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_soft_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posterior, rate and copies of every document under the target mixture of the labelled domains."""
-    rows = mixing.mixed(table(spark, sf_dir, "documents"), mixing.domains_of(table(spark, sf_dir, "labels")), MIXTURE)
+    rows = mixing.mixed(table(spark, sf_dir, "documents"), mixing.domains_of(table(spark, sf_dir, "labels")), mixing.MIXTURE)
     return rows.select("doc_id", "tokens", "posterior", "rate", "copies")
 
 
@@ -107,7 +104,7 @@ def op9_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded again."""
-    tables = bpe.share(spark, public_tokenizers.path(VOCABULARY))
+    tables = bpe.share(spark, public_tokenizers.path(bpe.VOCABULARY))
     return bpe.round_trip(table(spark, sf_dir, "documents"), tables)
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vulnlake.llm import common, exact_dedup, quality_rules
+from vulnlake.llm import bpe, common, exact_dedup, mixing, near_dedup, quality_rules
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,3 +27,26 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     marked = docs.withColumn(digest, F.sha2(exact_dedup.normalized(F.col("text")), 256)).dropDuplicates(["doc_id", digest])
     same = F.col(digest).eqNullSafe(F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_keep"))
     return marked.join(kept, same, "left_semi").select(docs.columns)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group (five words, 0.8): the smallest id."""
+    groups = near_dedup.near_groups(docs, "doc_id", "text", size=5, percent=80)
+    extra = groups.where(~F.col("kept")).select(F.col("doc_id").alias("_extra")).distinct()
+    extra = common.stage(extra, common.scratch(spark, "near-extra"))
+    return docs.join(extra, F.col("doc_id") == F.col("_extra"), "left_anti").select(docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their rates say: toxic and poor ones seldom, clean ones at least once. Rows without id stay once."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rates = mixing.mixed(docs, mixing.domains_of(labels), mixing.MIXTURE)
+    rates = rates.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
+    rates = common.stage(rates, common.scratch(spark, "copies"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.coalesce("_copies", F.lit(1))))
+    return docs.join(rates, F.col("doc_id") == F.col("_id"), "left").select(*docs.columns, copies.alias("_copy")).drop("_copy")
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, their number, and the digests of ids and of what they decode to."""
+    return bpe.round_trip(docs, bpe.share(spark, public_tokenizers.path(bpe.VOCABULARY)), keep_ids=True)
