@@ -1,3 +1,190 @@
-"""SQL that DuckDB can run for the queries that SQL expresses."""
+"""SQL that DuckDB can run for the queries that SQL expresses.
 
-SQL: dict[str, str] = {}
+``op1`` and ``op3`` fit models and ``op10`` encodes with a vocabulary file; SQL cannot express those.
+"""
+
+from __future__ import annotations
+
+from vulnlake.llm import license_scan as L
+from vulnlake.llm import quality_rules as R
+
+SPACE = r"[\x20\x09-\x0D]"
+WORD = r"[^\x20\x09-\x0D]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+LICENSE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _crc_step(value: str, times: int = 8) -> str:
+    return value if not times else _crc_step(f"list_transform({value}, lambda x: CASE WHEN x & 1 = 1 THEN xor(3988292384, x >> 1) ELSE x >> 1 END)", times - 1)
+
+
+def shards(n: int = 40, seed: str = "shard") -> str:
+    return rf"""
+    WITH crc AS (SELECT {_crc_step("range(256)")} AS steps),
+    raw AS (
+      SELECT doc_id, source, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS digits,
+        (('0x' || substr(md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 12))::BIGINT) / 281474976710656.0 AS f
+      FROM documents
+    ),
+    d AS (
+      SELECT doc_id, source, CAST(length(digits) // 2 + 16 AS BIGINT) AS size, f,
+        CAST(xor(4294967295, list_reduce(
+          list_transform(range(1, length(digits), 2), lambda i: ('0x' || substr(digits, i, 2))::BIGINT),
+          lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295)) AS BIGINT) AS text_crc32
+      FROM raw, crc
+    ),
+    inside AS (
+      SELECT *, (row_number() OVER (PARTITION BY source ORDER BY f, doc_id, text_crc32, size) - 1 + 0.5::DOUBLE) / count(*) OVER (PARTITION BY source) AS share
+      FROM d
+    ),
+    placed AS (
+      SELECT *, row_number() OVER (ORDER BY share, source NULLS FIRST, doc_id, text_crc32, size) - 1 AS place, count(*) OVER () AS n FROM inside
+    ),
+    cut AS (SELECT *, n // {n} AS per, n % {n} AS rest, (n % {n}) * (n // {n} + 1) AS wide FROM placed)
+    SELECT doc_id, size, text_crc32, 'rows' AS law,
+      CAST(CASE WHEN place < wide THEN place // (per + 1) ELSE rest + (place - wide) // greatest(per, 1) END AS INTEGER) AS shard,
+      CAST(CASE WHEN place < wide THEN place % (per + 1) ELSE (place - wide) % greatest(per, 1) END AS BIGINT) AS slot,
+      CAST(NULL AS INTEGER) AS grown_shard, source
+    FROM cut
+    """
+
+
+EXACT = rf"""
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{SPACE}+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+  doc_id = min(doc_id) OVER (PARTITION BY text_sha256) AS kept, text_sha256
+FROM d
+"""
+
+PREFERENCES = """
+WITH base AS (SELECT conv_id AS pair_id, coalesce(turn, -1) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+last AS (SELECT pair_id, max(turn) AS last FROM base WHERE role = 'assistant' GROUP BY 1),
+sides AS (
+  SELECT pair_id, 'chosen' AS side, turn, role, text FROM base
+  UNION ALL
+  SELECT pair_id, 'rejected', turn, role,
+    CASE WHEN role = 'assistant' AND turn = last THEN array_to_string(list_reverse(string_split(text, ' ')), ' ') ELSE text END
+  FROM base LEFT JOIN last USING (pair_id)
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn, role, text) - 1 AS place FROM sides),
+met AS (
+  SELECT pair_id, place, count(*) = 2 AND min(role) = max(role) AND min(text) = max(text) AS same FROM placed GROUP BY 1, 2
+),
+shared AS (SELECT pair_id, coalesce(min(place) FILTER (WHERE NOT same), max(place) + 1) AS shared FROM met GROUP BY 1),
+parts AS (
+  SELECT *, CASE WHEN place < shared THEN 'prompt' ELSE side END AS part, '<|im_start|>' || role || chr(10) AS head,
+    '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS segment,
+    CASE WHEN place < shared THEN place ELSE place - shared END AS seq
+  FROM placed JOIN shared USING (pair_id) WHERE side = 'chosen' OR place >= shared
+),
+laid AS (
+  SELECT *, coalesce(sum(length(segment)) OVER (PARTITION BY pair_id, part ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM parts
+)
+SELECT pair_id, part, CAST(seq AS BIGINT) AS seq, role, segment, CAST(start AS BIGINT) AS start, CAST(start + length(segment) AS BIGINT) AS end,
+  CASE WHEN role = 'assistant' AND part <> 'prompt' THEN CAST(start + length(head) AS BIGINT) END AS trained_start,
+  CASE WHEN role = 'assistant' AND part <> 'prompt' THEN CAST(start + length(segment) - 1 AS BIGINT) END AS trained_end
+FROM laid
+"""
+
+
+def licenses() -> str:
+    rows = [f"({n}, '{label}', {str(n < len(L.PHRASES)).lower()}, '{text.replace(chr(39), chr(39) * 2)}')" for n, (label, text) in enumerate([*L.PHRASES, *L.TEMPLATES])]
+    words = lambda c: f"regexp_extract_all(translate({c}, '{UPPER}', '{LOWER}'), '{LICENSE_WORD}')"
+    grams = lambda c: f"list_transform(range(1, len({c}) - {L.GRAM - 2}), lambda i: array_to_string(list_slice({c}, i, i + {L.GRAM - 1}), ' '))"
+    return rf"""
+    WITH t(template, label, phrase, text) AS (VALUES {", ".join(rows)}),
+    tw AS (SELECT template, label, phrase, {words("text")} AS w FROM t),
+    tg AS (SELECT template, label, phrase, len(w) - {L.GRAM - 1} AS size, unnest({grams("w")}) AS gram, generate_subscripts({grams("w")}, 1) - 1 AS place FROM tw),
+    dw AS (SELECT doc_id, {words("coalesce(text, '')")} AS w FROM documents),
+    dg AS (SELECT doc_id, unnest({grams("w")}) AS gram, generate_subscripts({grams("w")}, 1) - 1 AS pos FROM dw WHERE len(w) >= {L.GRAM}),
+    voted AS (
+      SELECT doc_id, template, label, phrase, size, pos - place AS diagonal, count(*) AS votes, min(pos) AS first, max(pos) AS last
+      FROM dg JOIN tg USING (gram) GROUP BY ALL
+    ),
+    marked AS (
+      SELECT *, CASE WHEN phrase THEN 1 WHEN coalesce(diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= {L.NEAR}, false) THEN 0 ELSE 1 END AS new
+      FROM voted
+    ),
+    numbered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM marked),
+    spans AS (
+      SELECT doc_id, template, label, phrase, size, span, sum(votes) AS votes, min(first) AS first, max(last) AS last FROM numbered GROUP BY ALL
+    ),
+    judged AS (
+      SELECT *, least(1.0, votes::DOUBLE / size) AS coverage,
+        CASE WHEN phrase THEN votes = size ELSE least(1.0, votes::DOUBLE / size) >= {L.MIN_COVERAGE} AND votes >= {L.MIN_DENSITY} * (last - first + 1) END AS found
+      FROM spans
+    ),
+    summed AS (
+      SELECT doc_id, count(*) FILTER (WHERE phrase AND found) AS n_base, min(first) FILTER (WHERE phrase AND found) AS first_word,
+        max(first) FILTER (WHERE phrase AND found) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE phrase AND found) AS base_labels,
+        string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE found) AS labels, max(coverage) FILTER (WHERE found) AS score,
+        count(*) FILTER (WHERE found) AS n_spans
+      FROM judged GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+      coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0.0) AS DOUBLE) AS score, coalesce(n_spans, 0) AS n_spans
+    FROM dw LEFT JOIN summed USING (doc_id)
+    """
+
+
+WARC = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS origin FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> origin THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> origin THEN origin END AS refers_to
+FROM g
+"""
+
+
+def rules() -> str:
+    bits = " + ".join(f"CASE WHEN {rule} THEN {1 << k} ELSE 0 END" for k, rule in enumerate(R.RULES.values()))
+    return rf"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+    lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+    counted AS (
+      SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines WHERE regexp_matches(line, '{WORD}') GROUP BY 1
+    ),
+    win AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, w FROM d WHERE len(w) >= 8),
+    keyed AS (SELECT doc_id, i, list_slice(w, i, i + 7) AS key FROM win),
+    twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, key) AS n FROM keyed) WHERE n > 1),
+    hit AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM twice, range(8) AS r(k) GROUP BY 1),
+    m AS (
+      SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '{SPACE}', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(n_lines, 0) AS n_lines,
+        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+      FROM d LEFT JOIN counted USING (doc_id) LEFT JOIN hit USING (doc_id)
+    ),
+    b AS (SELECT *, CAST({bits} AS BIGINT) AS bits FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, bits & {R.mask(R.POLICIES[1])} <> 0 AS base_failed,
+      bits & {R.mask(R.POLICIES[max(R.POLICIES)])} = 0 AS kept, bits
+    FROM b
+    """
+
+
+NEAR = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(list_slice(w, i, i + 2), ' ')) END) AS g
+  FROM d
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON l.a = r.b),
+low AS (SELECT a AS doc_id, least(a, min(b)) AS root FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(root, doc_id) AS component_id, coalesce(root, doc_id) = doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)
+"""
+
+SQL: dict[str, str] = {
+    "op2_interleaved_shards": shards(),
+    "op4_digest_index": EXACT,
+    "op5_preference_format": PREFERENCES,
+    "op6_diagonal_votes": licenses(),
+    "op7_gzip_normaliser": WARC,
+    "op8_rule_ledger": rules(),
+    "op9_super_minhash": NEAR,
+}
