@@ -5,9 +5,8 @@ import pytest
 import __spark_entry__ as entry_points
 from conftest import SF_DIR
 from oracle import connect, differences
-
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+from vulnlake.plans.oracle import SQL
+from vulnlake.plans.queries import REGISTRY as QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +16,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
