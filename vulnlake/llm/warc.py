@@ -169,7 +169,7 @@ def records(parts: Iterator[bytes], path: str) -> Iterator[tuple[dict[str, str],
 
 
 def normalised(manifest: DataFrame, folder: str) -> DataFrame:
-    """Rewrite each archive with a gzip member per record; a row per archive: ``path``, ``index`` (its sidecar), ``records``."""
+    """Rewrite each archive with a gzip member per record; a row per archive: ``path``, ``sidecar`` (its index), ``records``."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = fs.FileSystem.from_uri(folder)
@@ -190,10 +190,10 @@ def normalised(manifest: DataFrame, folder: str) -> DataFrame:
                         index.write(f"{offset} {len(member)} {head['warc-type']} {head['warc-record-id']}\n".encode())
                         offset, n = offset + len(member), n + 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([f"{folder}/{name}.warc.gz"]), pa.array([f"{folder}/{name}.idx"]), pa.array([n], pa.int64())], ["path", "index", "records"]
+                    [pa.array([f"{folder}/{name}.warc.gz"]), pa.array([f"{folder}/{name}.idx"]), pa.array([n], pa.int64())], ["path", "sidecar", "records"]
                 )
 
-    return manifest.select("path").mapInArrow(batches, "path string, index string, records bigint")
+    return manifest.select("path").mapInArrow(batches, "path string, sidecar string, records bigint")
 
 
 def read_back(manifest: DataFrame) -> DataFrame:
@@ -206,7 +206,7 @@ def read_back(manifest: DataFrame) -> DataFrame:
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            for path, index in zip(batch.column("path").to_pylist(), batch.column("index").to_pylist()):
+            for path, index in zip(batch.column("path").to_pylist(), batch.column("sidecar").to_pylist()):
                 system, place = fs.FileSystem.from_uri(path)
                 other, side = fs.FileSystem.from_uri(index)
                 rows: list[tuple] = []
@@ -224,7 +224,7 @@ def read_back(manifest: DataFrame) -> DataFrame:
                 kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
 
-    return manifest.select("path", "index").mapInArrow(
+    return manifest.select("path", "sidecar").mapInArrow(
         batches, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string"
     )
 
