@@ -10,6 +10,7 @@ from vulnlake.functions.ids import surrogate_key
 from vulnlake.operators import coverage, dedupe, incremental, marts, quality, reconcile, runlog, star, windows
 from vulnlake.schemas import CLEANED_SCHEMA, WAREHOUSE_SCHEMA
 from vulnlake.sources import cleaned, tables
+from vulnlake.sources.tables import align_to_schema
 
 # ---------------------------------------------------------------- dedupe
 
@@ -72,19 +73,46 @@ def test_duplicate_ids(spark):
 def test_insert_if_absent(spark):
     new = spark.createDataFrame([("a", 2), ("a", 1), ("b", 1), ("c", 1)], "id string, o int")
     stored = spark.createDataFrame([("b", 0), ("z", 0)], "id string, o int")
-    for few in (False, True):
-        got = dedupe.insert_if_absent(new, stored, "id", [F.col("o")], few)
-        assert sorted(tuple(r) for r in got.collect()) == [("a", 1), ("c", 1)]
+    got = dedupe.insert_if_absent(new, stored, "id", [F.col("o")])
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 1), ("c", 1)]
 
 
 def test_upsert_latest(spark):
     schema = "id string, v int, note string"
     base = spark.createDataFrame([("a", 1, "old"), ("b", 5, "kept"), ("c", 1, "untouched")], schema)
     inc = spark.createDataFrame([("a", 2, "new"), ("b", 4, "stale"), ("d", 1, "first"), ("d", 2, "second")], schema)
-    for few in (False, True):
-        got = dedupe.upsert_latest(base, inc, "id", F.col("v"), [F.col("note")], few)
-        assert {r["id"]: r["note"] for r in got.collect()} == {"a": "new", "b": "kept", "c": "untouched", "d": "second"}
-        assert got.count() == 4
+    got = dedupe.upsert_latest(base, inc, "id", F.col("v"), [F.col("note")])
+    assert {r["id"]: r["note"] for r in got.collect()} == {"a": "new", "b": "kept", "c": "untouched", "d": "second"}
+    assert got.count() == 4
+
+
+def test_ties_do_not_depend_on_the_day_of_the_run(spark):
+    rows = [(f"k{i % 50}", "2024-01-01", f"note {i}", i) for i in range(200)]
+
+    def winners(shift):
+        df = spark.createDataFrame([(*r[:3], r[3] * 7 % 11 + shift) for r in rows], "cve_id string, last_modified string, note string, days_since_published int")
+        return {r["cve_id"]: r["note"] for r in dedupe.latest_records(df).collect()}
+
+    assert winners(1) == winners(2)
+
+
+def test_merge_keeps_ids_without_a_year(spark, tmp_path):
+    base = str(tmp_path / "base")
+    incremental.init_base(spark, base)
+    for n, odd in enumerate(("odd-1", "odd-2")):
+        rows = spark.createDataFrame([(odd, "2024-01-01T00:00:00")], "cve_id string, last_modified string")
+        incremental.merge_increment(spark, base, align_to_schema(rows, CLEANED_SCHEMA), str(tmp_path / f"stage{n}"))
+    assert sorted(r["cve_id"] for r in incremental.scan_base(spark, base).collect()) == ["odd-1", "odd-2"]
+
+
+def test_slices_agree_on_records_and_on_bronze(spark):
+    days = ["2026-02-28T10:00", "2026-02-31T10:00", "2026-03-01", "2026-01-31T23:59:59.999", "2026-02-01", "soon", None, "2025-02-10", "2026-02"]
+    raw = spark.createDataFrame([(d,) for d in days], "published string")
+    bronze = raw.withColumn("pub_year", F.year(F.substring("published", 1, 10).try_cast("date")))
+    got = [sorted(r["published"] for r in windows.slice_window(df, date(2026, 2, 1), date(2026, 2, 28)).collect()) for df in (raw, bronze)]
+    assert got[0] == got[1] == ["2026-02-01", "2026-02-28T10:00"]
+    odd = [windows.slice_window(df, date(2026, 2, 1), date(2026, 3, 15)).where("published like '2026-02-31%'").count() for df in (raw, bronze)]
+    assert odd == [1, 1]
 
 
 # ---------------------------------------------------------------- quality
@@ -320,17 +348,16 @@ def test_log_summary(spark):
 # ---------------------------------------------------------------- high-water mark
 
 
-def test_next_window(spark, tmp_path):
+def test_marks_and_asked_windows(spark, tmp_path):
     now = datetime(2026, 10, 12, 6, tzinfo=timezone.utc)
     path = str(tmp_path / "control")
     incremental.init_control(spark, path)
-    assert incremental.high_water(spark, path) is None
-    assert incremental.next_window(None, now)[0] == datetime(2026, 10, 11, 6, tzinfo=timezone.utc)
-    incremental.advance(spark, path, now)
+    assert incremental.mark(spark, path) == (None, None)
+    incremental.advance(spark, path, now, "b7")
     incremental.advance(spark, path, datetime(2026, 10, 1))
     incremental.init_control(spark, path)
-    assert incremental.high_water(spark, path) == now
-    assert incremental.next_window(now, datetime(2026, 10, 13))[0] == now
-    assert incremental.next_window(now, now, since=datetime(2026, 1, 1))[0].year == 2026
+    assert incremental.mark(spark, path) == (now, "b7") and incremental.high_water(spark, path) == now
+    assert incremental.asked_window(None, None, now)[1] == now
+    assert incremental.asked_window(datetime(2026, 1, 1), now, now)[0].year == 2026
     with pytest.raises(ValueError):
-        incremental.next_window(now, now, until=datetime(2026, 1, 1))
+        incremental.asked_window(now, datetime(2026, 1, 1), now)

@@ -14,13 +14,8 @@ from vulnlake.functions.dates import to_instant
 
 _RANK = "_rank"
 
-# Most keys a caller may declare few: short identifiers of this number fit a broadcast easily.
-FEW_KEYS = 500_000
-
-
-def _distributed(keys: DataFrame, few: bool) -> DataFrame:
-    """Broadcast keys the caller has counted; otherwise leave the choice to measured sizes."""
-    return F.broadcast(keys) if few else keys
+# Columns that depend on the day of the run, not on the record: no tie is decided by them.
+RUN_COLUMNS = {"days_since_published"}
 
 
 def first_per(df: DataFrame, keys: list[str | Column], order: list[Column]) -> DataFrame:
@@ -36,8 +31,8 @@ def latest_wins(df: DataFrame, key: str, version: Column, ties: list[Column]) ->
 
 
 def version_order(df: DataFrame, column: str = "last_modified") -> tuple[Column, list[Column]]:
-    """Version and tie-breakers of ISO-text versions: instant, then text, then row content."""
-    content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    """Version and tie-breakers of ISO-text versions: instant, then text, then the record's own content."""
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c not in RUN_COLUMNS])
     return to_instant(F.col(column)), [F.col(column), content]
 
 
@@ -75,30 +70,28 @@ def duplicate_ids(df: DataFrame, key: str) -> DataFrame:
 
 
 def insert_if_absent(
-    new: DataFrame, stored: DataFrame, key: str, order: list[Column], few: bool = False
+    new: DataFrame, stored: DataFrame, key: str, order: list[Column]
 ) -> DataFrame:
     """Rows of ``new`` whose key is not stored yet, one per key, the first in ``order``.
 
     The stored side is only asked which of the new keys it holds. That answer is
     never larger than ``new``, so it, not the ever-growing store, is what the
-    anti-join has to distribute. ``few`` says that ``new`` has been counted and
-    has at most FEW_KEYS rows: then the store is scanned where it lies, unshuffled.
+    anti-join has to distribute. Whether keys are broadcast is left to measured sizes.
     """
     fresh = first_per(new, [key], order)
-    held = stored.select(key).join(_distributed(fresh.select(key), few), key, "left_semi").distinct()
-    return fresh.join(_distributed(held, few), key, "left_anti")
+    held = stored.select(key).join(fresh.select(key), key, "left_semi").distinct()
+    return fresh.join(held, key, "left_anti")
 
 
 def upsert_latest(
-    base: DataFrame, increment: DataFrame, key: str, version: Column, ties: list[Column], few: bool = False
+    base: DataFrame, increment: DataFrame, key: str, version: Column, ties: list[Column]
 ) -> DataFrame:
     """The base with an increment merged in, newest row per key.
 
     Base rows the increment does not touch pass through; only contested keys are
-    ranked. With ``few`` counted keys, or where the measured size allows a
-    broadcast, the base is not shuffled.
+    ranked. Where the measured size of the keys allows a broadcast, the base is not shuffled.
     """
-    keys = _distributed(increment.select(key).distinct(), few)
+    keys = increment.select(key).distinct()
     untouched = base.join(keys, key, "left_anti")
     contested = base.join(keys, key, "left_semi").unionByName(increment)
     return untouched.unionByName(latest_wins(contested, key, version, ties))

@@ -16,7 +16,11 @@ def reconcile(a: DataFrame, b: DataFrame, key: str = "metric", value: str = "val
 
 
 def reconcile_rows(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows only one side has, with their multiplicity kept."""
-    only_a = a.exceptAll(b).withColumn("side", F.lit("left"))
-    only_b = b.exceptAll(a).withColumn("side", F.lit("right"))
-    return only_a.unionByName(only_b)
+    """Rows only one side has, with their multiplicity kept. One aggregate over both sides."""
+    columns = [F.col(f"`{c}`") for c in a.columns]
+    sign = "_sign"
+    both = a.withColumn(sign, F.lit(1)).unionAll(b.select(*columns).withColumn(sign, F.lit(-1)))
+    surplus = both.groupBy(*columns).agg(F.sum(sign).alias(sign)).where(F.col(sign) != 0)
+    side = F.when(F.col(sign) > 0, "left").otherwise("right")
+    copies = F.array_repeat(side, F.abs(F.col(sign)).cast("int"))
+    return surplus.select(*columns, F.explode(copies).alias("side"))

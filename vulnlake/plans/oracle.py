@@ -390,8 +390,11 @@ FROM ({PUB_SPINE}) s(w) LEFT JOIN counts c ON s.w = c.w""",
   count(DISTINCT {_fallback('product', 'UNKNOWN')}) AS products, count(cvss_score) AS scored FROM loaded GROUP BY 1, 2, 3""",
     ),
     "star_orphans": w(
-        RECORDS,
-        select=f"SELECT DISTINCT 'vendor' AS dimension, {_key('vendor')} AS orphan_key FROM records WHERE vendor IN ('Brand#13', 'Brand#5', 'Brand#7')",
+        RECORDS, LOADED,
+        select=f"""SELECT DISTINCT 'vendor' AS dimension, {_key('vendor')} AS orphan_key FROM loaded WHERE vendor IN ('Brand#13', 'Brand#5', 'Brand#7')
+UNION ALL SELECT DISTINCT 'product', {_key('product')} FROM loaded WHERE product <> '' AND product < 'm'
+UNION ALL SELECT DISTINCT 'severity', {_key('severity')} FROM loaded WHERE severity = 'CRITICAL'
+UNION ALL SELECT DISTINCT 'date', {_key('published_date')} FROM loaded WHERE published_date >= DATE '2001-01-01'""",
     ),
     "schema_align": w(RECORDS, select="SELECT cve_id, vendor, cvss_score, cast(NULL AS varchar) AS affected_status FROM records"),
     "load_append_dups": w(
@@ -428,7 +431,7 @@ FROM ({PUB_SPINE}) s(w) LEFT JOIN counts c ON s.w = c.w""",
     "incremental_upsert": w(
         RECORDS, VALID,
         select=f"""SELECT cve_id, cast(cast(last_modified AS date) AS varchar) AS last_modified, {ROW_KEY} FROM (
-  SELECT *, row_number() OVER (PARTITION BY cve_id ORDER BY {NEWEST}) AS rn FROM valid WHERE last_modified < TIMESTAMP '1999-04-01') WHERE rn = 1""",
+  SELECT *, row_number() OVER (PARTITION BY cve_id ORDER BY {NEWEST}) AS rn FROM valid) WHERE rn = 1""",
     ),
     "feed_flatten": w(
         RECORDS, NESTED,
@@ -442,19 +445,33 @@ FROM ({PUB_SPINE}) s(w) LEFT JOIN counts c ON s.w = c.w""",
     ),
     "quality_report": w(
         RECORDS, NESTED,
+        """tagged AS (SELECT * REPLACE (concat_ws('|', lpad(cast(line_no AS varchar), 12, '0'), lpad(cast(part_no AS varchar), 12, '0'),
+  lpad(cast(supp_no AS varchar), 12, '0')) AS vuln_status), id AS cve_id FROM flat WHERE regexp_full_match(id, 'CVE-[0-9]{4}-[0-9]+')),
+  newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cve_id ORDER BY modified_ts DESC, vuln_status DESC) AS rn FROM tagged) WHERE rn = 1)""",
         select=_long(
             {
-                "output_records": "count(*)",
+                "input_records": "(SELECT count(*) FROM flat)",
+                "output_records": "(SELECT count(*) FROM newest)",
+                "duplicate_records_removed": "(SELECT count(*) FROM tagged) - (SELECT count(*) FROM newest)",
+                "records_dropped_invalid_cve_id": "(SELECT count(*) FROM flat) - (SELECT count(*) FROM tagged)",
+                "records_bad_published": "0",
+            },
+            "(SELECT 1) AS one",
+        )
+        + " UNION ALL "
+        + _long(
+            {
                 "records_missing_cvss": "count(*) FILTER (WHERE cvss_score IS NULL)",
                 "records_missing_description": "count(*) FILTER (WHERE description_en IS NULL OR trim(description_en) = '')",
                 "records_missing_vendor": f"count(*) FILTER (WHERE {BLANK_VENDOR})",
-                "records_bad_published": "0",
+                "min_published_date": "strftime(min(cast(published_ts AS date)), '%Y%m%d')",
+                "max_published_date": "strftime(max(cast(published_ts AS date)), '%Y%m%d')",
                 **{f"vendor_resolution.{b}": f"count(*) FILTER (WHERE vendor_source = '{k}')" for k, b in RESOLUTIONS.items()},
                 **{f"source_type_distribution.{t}": f"count(*) FILTER (WHERE {SOURCE_TYPE} = '{t}')" for t in TYPES},
                 **{f"severity_distribution.{s}": f"count(*) FILTER (WHERE {SEVERITY_BUCKET} = '{s}')" for s in SEVERITIES},
             },
-            "flat",
-        ).replace("cast(0 AS bigint) AS value FROM flat", "cast(0 AS bigint) AS value"),
+            "newest",
+        ),
     ),
     "first_lang_text": w(RECORDS, NESTED, select=f"SELECT id, {ROW_KEY}, description_en FROM flat"),
     "metric_priority": w(

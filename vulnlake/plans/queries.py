@@ -30,7 +30,7 @@ SLICE = (date(1997, 1, 1), date(1997, 6, 30))
 MODIFIED = ("1998-01-01T00:00:00+00:00", "1998-04-01T00:00:00+00:00")
 CHUNKS = (date(1995, 3, 1), date(2001, 3, 31), 120)
 PUB_WINDOWS = windows.year_windows(date(2001, 6, 30), 5)
-BASE_UNTIL, INCREMENT_UNTIL = date(1999, 1, 1), date(1999, 4, 1)
+BASE_UNTIL = date(1999, 1, 1)
 TOP = 10
 
 ROW = ["line_no", "part_no", "supp_no"]
@@ -316,17 +316,22 @@ def q_star_join(spark, sf_dir):
 
 @query
 def q_star_orphans(spark, sf_dir):
-    """Dimensions built before three brands existed: exactly their keys are orphans."""
+    """Dimensions built before some members existed: exactly the missing members' keys are orphans."""
     df = loaded(spark, sf_dir)
-    early = df.filter(F.coalesce(~F.col("vendor").isin("Brand#13", "Brand#5", "Brand#7"), F.lit(True)))
+    missing = {
+        "vendor": F.col("vendor").isin("Brand#13", "Brand#5", "Brand#7"),
+        "product": (F.col("product") != "") & (F.col("product") < "m"),
+        "severity": F.col("severity") == "CRITICAL",
+        "date": F.col("published_date") >= F.lit(date(2001, 1, 1)),
+    }
     facts = star.fact(df, ids.portable_key)
-    found = [
-        star.orphan_keys(facts, star.dim_from(early, name, key=ids.portable_key), f"{name}_key").select(
-            F.lit(name).alias("dimension"), F.col(f"{name}_key").alias("orphan_key")
-        )
-        for name in ("vendor", "severity")
-    ]
-    return found[0].unionByName(found[1])
+    found = None
+    for name, late in missing.items():
+        early = df.filter(~F.coalesce(late, F.lit(False)))
+        dim = star.dim_date(early, ids.portable_key) if name == "date" else star.dim_from(early, name, key=ids.portable_key)
+        orphans = star.orphan_keys(facts, dim, f"{name}_key").select(F.lit(name).alias("dimension"), F.col(f"{name}_key").alias("orphan_key"))
+        found = orphans if found is None else found.unionByName(orphans)
+    return found
 
 
 # ---------------------------------------------------------------- loading
@@ -380,7 +385,7 @@ def q_incremental_upsert(spark, sf_dir):
     df = valid_records(spark, sf_dir).select("cve_id", "last_modified", *R.TIES)
     version = F.col("last_modified")
     base = dedupe.latest_wins(df.filter(version < F.lit(BASE_UNTIL)), "cve_id", version, R.ties())
-    increment = df.filter((version >= F.lit(BASE_UNTIL)) & (version < F.lit(INCREMENT_UNTIL)))
+    increment = df.filter(F.coalesce(version >= F.lit(BASE_UNTIL), F.lit(True)))
     merged = dedupe.upsert_latest(base, increment, "cve_id", version, R.ties())
     return widen(merged.select("cve_id", F.to_date("last_modified").alias("last_modified"), *ROW))
 
@@ -399,22 +404,27 @@ def q_feed_flatten(spark, sf_dir):
 @query
 def q_batch_cleaned(spark, sf_dir):
     """The batch job's result: well-formed ids, flat and enriched, newest version per id."""
+    return widen(newest_flat(spark, sf_dir).select(*CLEANED_COLUMNS))
+
+
+def newest_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = R.raw_nested(spark, sf_dir).filter(ids.is_valid_id(F.col("id")))
     tagged = nested.withColumn("vulnStatus", F.concat_ws("|", *[F.lpad(F.col(f"_{c}").cast("string"), 12, "0") for c in ROW]))
     flat = flatten.transform(tagged, F.lit(AS_OF))
-    newest = dedupe.latest_wins(flat, "cve_id", dates.to_instant(F.col("last_modified")), [F.col("vuln_status")])
-    return widen(newest.select(*CLEANED_COLUMNS))
+    return dedupe.latest_wins(flat, "cve_id", dates.to_instant(F.col("last_modified")), [F.col("vuln_status")])
 
 
 @query
 def q_quality_report(spark, sf_dir):
-    """The report's figures over the flat layer, all rows kept, in long form."""
-    flat = flatten.transform(R.raw_nested(spark, sf_dir), F.lit(AS_OF))
-    report = quality.quality_report(flat, 0, 0, F.lit("-"))
-    nested = ["vendor_resolution", "source_type_distribution", "severity_distribution"]
-    plain = ["output_records", "records_missing_cvss", "records_missing_description", "records_missing_vendor", "records_bad_published"]
-    fields = [F.col(f"{n}.{f}").alias(f"{n}.{f}") for n in nested for f in report.schema[n].dataType.fieldNames()]
-    return quality.long_form(report.select(*plain, *fields))
+    """All figures of the batch job's report, in long form; dates as numbers."""
+    nested = R.raw_nested(spark, sf_dir)
+    seen = nested.agg(F.count(F.lit(1)).alias("n"), F.count_if(ids.is_valid_id(F.col("id"))).alias("valid")).first()
+    report = quality.quality_report(newest_flat(spark, sf_dir), seen["n"], seen["valid"], F.lit("-"))
+    groups = ["vendor_resolution", "source_type_distribution", "severity_distribution"]
+    fields = [F.col(f"{n}.{f}").alias(f"{n}.{f}") for n in groups for f in report.schema[n].dataType.fieldNames()]
+    days = [F.regexp_replace(d, "-", "").alias(d) for d in ("min_published_date", "max_published_date")]
+    plain = [c for c in report.columns if c not in [*groups, "min_published_date", "max_published_date", "generated_at"]]
+    return quality.long_form(report.select(*plain, *days, *fields))
 
 
 @query

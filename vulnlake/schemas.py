@@ -18,7 +18,7 @@ _S = T.StringType()
 
 CVSS_DATA = _struct(
     ("version", _S),
-    ("baseScore", T.DoubleType()),
+    ("baseScore", _S),  # feeds write it as a number or as text; it is cast where it is used
     ("baseSeverity", _S),
     ("attackVector", _S),
     ("attackComplexity", _S),
@@ -63,6 +63,7 @@ RECORD_SCHEMA = _struct(
 )
 
 CORRUPT_COLUMN = "_corrupt_record"
+RAW_COLUMN = "raw"
 
 FEED_SCHEMA = _struct(
     ("resultsPerPage", T.LongType()),
@@ -74,6 +75,12 @@ FEED_SCHEMA = _struct(
     ("vulnerabilities", T.ArrayType(_struct(("cve", RECORD_SCHEMA)))),
 )
 
+# The envelope as it is scanned: each record stays JSON text, so fields without a place in RECORD_SCHEMA are kept.
+ENVELOPE_SCHEMA = T.StructType(
+    [f for f in FEED_SCHEMA.fields if f.name != "vulnerabilities"]
+    + [T.StructField("vulnerabilities", T.ArrayType(_struct(("cve", _S))), True)]
+)
+
 # Column order of the cleaned layer (fixed values: names and order are the contract).
 CLEANED_SCHEMA = _struct(
     ("cve_id", _S),
