@@ -389,6 +389,28 @@ FROM ({PUB_SPINE}) s(w) LEFT JOIN counts c ON s.w = c.w""",
         select=f"""SELECT {_fallback('vendor', 'UNKNOWN')} AS vendor, {_fallback('severity', 'MISSING')} AS severity, year, count(*) AS facts,
   count(DISTINCT {_fallback('product', 'UNKNOWN')}) AS products, count(cvss_score) AS scored FROM loaded GROUP BY 1, 2, 3""",
     ),
+    "star_tables": w(
+        RECORDS, LOADED,
+        select=f"""SELECT {_fallback('vendor', 'UNKNOWN')} AS vendor, {_fallback('severity', 'MISSING')} AS severity, year, count(*) AS facts,
+  count(DISTINCT {_fallback('product', 'UNKNOWN')}) AS products, count(cvss_score) AS scored FROM loaded GROUP BY 1, 2, 3""",
+    ),
+    "load_verify": w(
+        RECORDS, LOADED,
+        select=_long(
+            {
+                "facts": "count(*)",
+                **{f"{n}": f"count(DISTINCT nullif({c}, '')) + 1" for n, c in {"vendors": "vendor", "products": "product", "severities": "severity"}.items()},
+                "shared": "count(*)",
+                "named": "count(*) FILTER (WHERE vendor <> '')",
+                "duplicates": "count(*) - count(DISTINCT cve_id)",
+            },
+            "loaded",
+        )
+        + " UNION ALL "
+        + _long({"dates": "count(*)"}, "(SELECT DISTINCT published_date FROM loaded) AS d")
+        + " UNION ALL "
+        + _long({"months": "count(*)"}, "(SELECT DISTINCT year, month FROM loaded) AS m"),
+    ),
     "star_orphans": w(
         RECORDS, LOADED,
         select=f"""SELECT DISTINCT 'vendor' AS dimension, {_key('vendor')} AS orphan_key FROM loaded WHERE vendor IN ('Brand#13', 'Brand#5', 'Brand#7')

@@ -6,6 +6,7 @@ results compare by value with the oracle engine.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from vulnlake.functions import dates, ids, products, scores, sources, text, uris
 from vulnlake.operators import coverage, dedupe, flatten, marts, quality, reconcile, runlog, star, windows
 from vulnlake.plans import records as R
+from vulnlake.plans import warehouse
 from vulnlake.schemas import CLEANED_COLUMNS
 from vulnlake.sources import feed, tables
 from vulnlake.streaming import events, routing
@@ -334,6 +336,33 @@ def q_star_orphans(spark, sf_dir):
     return found
 
 
+def built_warehouse(spark: SparkSession, sf_dir: str) -> str:
+    """The warehouse over a loaded catalog table, built anew in a database of its own; returns the database."""
+    name = f"star_{uuid.uuid4().hex}"
+    tables.create_database(spark, name)
+    loaded(spark, sf_dir).write.saveAsTable(f"{name}.cleaned")
+    warehouse.build_warehouse(spark, f"{name}.cleaned", name, ids.portable_key)
+    return name
+
+
+@query
+def q_star_tables(spark, sf_dir):
+    """The written star, joined: the same figures as from the lazy one."""
+    return warehouse.star_members(spark, built_warehouse(spark, sf_dir)).withColumn("year", F.col("year").cast("bigint"))
+
+
+@query
+def q_load_verify(spark, sf_dir):
+    """Figures of the written tables and views."""
+    name = built_warehouse(spark, sf_dir)
+    counts = spark.sql(f"""SELECT (SELECT count(*) FROM {name}.fact_cve) AS facts, (SELECT count(*) FROM {name}.dim_vendor) AS vendors,
+        (SELECT count(*) FROM {name}.dim_product) AS products, (SELECT count(*) FROM {name}.dim_severity) AS severities,
+        (SELECT count(*) FROM {name}.dim_date) AS dates, (SELECT count(*) FROM {name}.monthly_overview) AS months,
+        (SELECT sum(cve_count) FROM {name}.severity_share) AS shared, (SELECT sum(cve_count) FROM {name}.vendor_counts) AS named,
+        (SELECT duplicate_cve_id FROM {name}.data_quality) AS duplicates""")
+    return quality.long_form(counts)
+
+
 # ---------------------------------------------------------------- loading
 
 
