@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -618,10 +618,12 @@ def q_event_idempotent(spark, sf_dir):
 def q_event_ledger(spark, sf_dir):
     """Ingest counts per thousand source rows; the first copy of a valid event is the one inserted."""
     routed = keyed_messages(spark, sf_dir)
-    valid = routed.filter(F.col("kind") == routing.VALID)
-    stored = dedupe.first_per(valid, ["event_id"], [F.col(c) for c in ARRIVAL]).select(*ARRIVAL, F.lit(True).alias("stored"))
-    flagged = routed.join(stored, ARRIVAL, "left").withColumn("batch", F.floor(F.col("n") / 1000))
-    return flagged.groupBy("batch").agg(*routing.ledger_counts(F.coalesce("stored", F.lit(False))))
+    valid = F.col("kind") == routing.VALID
+    # Others than valid ones are keyed by their own place, so they neither meet nor gather.
+    own = F.when(valid, F.col("event_id")).otherwise(F.concat_ws("/", *ARRIVAL))
+    turn = F.row_number().over(Window.partitionBy(valid, own).orderBy(*ARRIVAL))
+    flagged = routed.withColumns({"stored": valid & (turn == 1), "batch": F.floor(F.col("n") / 1000)})
+    return flagged.groupBy("batch").agg(*routing.ledger_counts(F.col("stored")))
 
 
 @query
