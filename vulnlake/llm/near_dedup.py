@@ -6,9 +6,10 @@
 2. Equal sets are joined first (by digest), so copies never meet each other again: one row per set goes on.
 3. Bands of the signature give buckets. Rows and bands are chosen so that a pair at the threshold is missed with a
    probability of at most ``miss``.
-4. Candidates are compared on their full sets. In each bucket a few hubs are compared with all others, linked rows are
-   united, and the hubs leave; buckets whose members are in one component are done, the rest go round again with
-   more hubs. So every pair that could still change a component is compared, without pairing a group with itself.
+4. Candidates are compared on their full sets. In each bucket one hub is compared with all others and linked rows are
+   united. A bucket whose other members are then in one component is done. The members of the rest meet through a
+   prefix of their shingles, rare ones first, and the places of shared ones rule most pairs out. So every pair that could
+   still change a component is compared, without pairing a group with itself.
 5. Links are united by union-find in each task and by star contraction over all tasks.
 
 Edge cases: a text with fewer words than a shingle is one shingle, its whole sequence; texts without words and
@@ -26,7 +27,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from vulnlake.llm import common as C
 
@@ -168,10 +168,13 @@ def similar(common: Column, left: Column, right: Column, percent: int) -> Column
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs ``a``, ``b`` those whose full sets are similar enough."""
+    """Of the pairs ``a``, ``b`` those whose full sets are similar enough; sizes that rule it out are seen first."""
     left, right = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
-    met = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
-    return met.where(similar(F.col("common"), F.size("sa"), F.size("sb"), percent)).select("a", "b")
+    met = pairs.join(left, "a").join(right, "b")
+    na, nb = F.size("sa"), F.size("sb")
+    possible = 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
+    common = F.size(F.when(possible, F.array_intersect("sa", "sb")).otherwise(F.array().cast("array<bigint>")))
+    return met.where(possible & similar(common, na, nb, percent)).select("a", "b")
 
 
 def united(links: DataFrame, folder: str) -> DataFrame:
@@ -202,43 +205,67 @@ def united(links: DataFrame, folder: str) -> DataFrame:
             )
 
     edges = C.stage(links.where("a <> b").mapInArrow(forest, f"u {kind}, v {kind}"), f"{folder}/forest")
-    before, step = None, 0
-    while True:
+    step = 0
+    while not stars(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         met = large.join(least, "u")
         small = met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(met.select("u", F.col("m").alias("v"))).distinct()
         edges = C.stage(small, f"{folder}/step{step}")
-        after = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if after == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before, step = after, step + 1
+        step += 1
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def stars(edges: DataFrame) -> bool:
+    """Whether every node hangs under one other at most, and none hangs under a node that hangs itself."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up")))).alias("e"))
+    sides = ends.groupBy("e.x").agg(F.sum("e.up").alias("ups"), F.min("e.up").alias("low"))
+    return sides.where("ups > 1 or (ups > 0 and low = 0)").isEmpty()
+
+
+def prefix_pairs(sets: DataFrame, percent: int, folder: str) -> DataFrame:
+    """Pairs ``a``, ``b`` of ``sets`` (``key``, ``root``, ``shingles``) that can be similar and are in different components.
+
+    Shingles are put in one order for all sets, rare ones first. Similar sets share a shingle among the first few of
+    each, and the places of the first one they share bound how much they can have in common; so no similar pair is
+    missed. Of the sets that share a shingle, those of its most frequent component are only met by the others.
+    """
+    one = sets.select("key", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    often = one.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    ordered = one.join(often, "shingle", "left").groupBy("key", "root", "n").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("often", F.lit(1)).alias("often"), "shingle"))).alias("all"))
+    first = F.col("n") - F.floor((percent * F.col("n") + 99) / 100).cast("int") + 1
+    head = ordered.select("key", "root", "n", F.posexplode(F.slice("all", F.lit(1), first)).alias("at", "s"))
+    head = C.stage(head.where("s.often > 1").select("key", "root", "n", "at", F.col("s.shingle").alias("shingle")), f"{folder}/heads")
+    common = head.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("shingle").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
+    mixed = head.join(common.where("roots > 1").select("shingle", "main"), "shingle")
+    left = mixed.where("root <> main").select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("key", "root", "n", "at")])
+    most = F.least(F.col("n_a") - F.col("at_a"), F.col("n") - F.col("at"))  # this one and what follows it
+    needed = F.ceil(percent * (F.col("n_a") + F.col("n")) / (100 + percent))
+    possible = (F.col("root_a") != F.col("root")) & ((F.col("root") == F.col("main")) | (F.col("key_a") < F.col("key")))
+    possible = possible & (100 * F.least("n_a", "n") >= percent * F.greatest("n_a", "n")) & (most >= needed)
+    return left.join(mixed, "shingle").where(possible).select(F.least("key_a", "key").alias("a"), F.greatest("key_a", "key").alias("b")).distinct()
 
 
 def linked(members: DataFrame, sets: DataFrame, percent: int, folder: str) -> DataFrame:
-    """Components (``node``, ``root``) of all similar pairs that share a bucket; ``members``: bucket, key, n_shingles."""
-    spark = members.sparkSession
-    kind = dict(members.dtypes)["key"]
-    roots = spark.createDataFrame([], f"node {kind}, root {kind}")
-    hubs_each, turn = 2, 0
-    while True:
-        here = members.join(roots, members["key"] == roots["node"], "left").select("bucket", "key", "n_shingles", F.coalesce("root", "key").alias("root"))
-        open_ = here.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-        here = C.stage(here.join(open_, "bucket", "left_semi"), f"{folder}/open{turn}")
-        if here.isEmpty():
-            return roots
-        order = Window.partitionBy("bucket").orderBy("key")
-        hubs = here.withColumn("n", F.row_number().over(order)).where(F.col("n") <= hubs_each).drop("n")
-        hub = hubs.select("bucket", F.col("key").alias("a"), F.col("n_shingles").alias("na"), F.col("root").alias("ra"))
-        small, large = F.least("na", "n_shingles"), F.greatest("na", "n_shingles")
-        pairs = here.join(hub, "bucket").where((F.col("a") < F.col("key")) & (F.col("ra") != F.col("root")) & (100 * small >= percent * large))
-        links = verified(pairs.select("a", F.col("key").alias("b")).distinct(), sets, percent)
-        links = links.union(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))
-        roots = united(links, f"{folder}/united{turn}")
-        members = here.join(hubs.select("bucket", "key"), ["bucket", "key"], "left_anti").drop("root")
-        hubs_each, turn = hubs_each * 8, turn + 1
+    """Components (``node``, ``root``) of all similar pairs that share a bucket; ``members``: ``bucket``, ``key``.
+
+    First every member meets its bucket's smallest key. Members of buckets that still hold several components then
+    meet each other through the shingles that similar sets must share.
+    """
+    hub = members.groupBy("bucket").agg(F.min("key").alias("a"))
+    pairs = members.join(hub, "bucket").where("a < key").select("a", F.col("key").alias("b")).distinct()
+    roots = united(verified(C.stage(pairs, f"{folder}/pairs"), sets, percent), f"{folder}/united")
+    left = members.join(hub.select("bucket", F.col("a").alias("key")), ["bucket", "key"], "left_anti")
+    here = left.join(roots, left["key"] == roots["node"], "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
+    open_ = here.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
+    wide = C.stage(here.join(open_, "bucket", "left_semi").groupBy("key").agg(F.min("root").alias("root")), f"{folder}/open")
+    rest = C.stage(prefix_pairs(sets.join(wide, "key"), percent, folder), f"{folder}/rest")
+    if rest.isEmpty():
+        return roots
+    links = verified(rest, sets, percent).union(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))
+    return united(links, f"{folder}/united-all")
 
 
 def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -249,7 +276,7 @@ def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: in
     solid = all_rows.where((F.col("n_shingles") > 0) & F.col("key").isNotNull())
     reps = C.stage(solid.groupBy("set_a", "set_b").agg(F.min("key").alias("rep")), f"{folder}/reps")
     one = solid.join(reps.select(F.col("rep").alias("key")), "key", "left_semi")
-    buckets = one.select("key", "n_shingles", F.explode("bands").alias("bucket"))
+    buckets = one.select("key", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     members = C.stage(buckets.join(shared, "bucket", "left_semi"), f"{folder}/members")
     wanted = members.select("key").distinct()
