@@ -114,6 +114,8 @@ def fit_rates(rows: DataFrame, targets: list[float], steps: int = 60, tolerance:
     d = len(targets)
     folder = C.scratch(rows.sparkSession, "rates")
     rows = rows.withColumn("rate", F.lit(1.0))
+    if not d:
+        return rows, [[]]
     has = F.col("tokens") > 0
 
     def totals(frame: DataFrame) -> np.ndarray:
