@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from awkward import SF_DIR, documents, no_documents  # noqa: F401
-from vulnlake.llm import chat_format, common, mixing, queries, secret_scan
+from vulnlake.llm import chat_format, common, mixing, queries, secret_scan, stages
 
 
 def labelled_texts(n, seed):
@@ -69,6 +69,24 @@ def test_mixing_awkward_rows(spark, documents, no_documents):
     assert {tuple(r.posterior) for r in none} == {()} and {r.copies for r in none} == {1}
 
 
+def test_clean_documents_stay_at_least_once(spark, tmp_path):
+    odd = [(i, "vile nasty awful " * 5, "clean" if i % 5 == 1 else "toxic") for i in range(1000, 1060)]  # one text, mostly toxic by label
+    rows = [*labelled_texts(600, 1), *odd]
+    docs = spark.createDataFrame([(i, text) for i, text, _ in rows], "doc_id bigint, text string")
+    spark.createDataFrame([(i, int(kind != "low"), int(kind == "toxic")) for i, _, kind in rows if i % 5], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = collections.Counter(r.doc_id for r in stages.mixture(spark, docs, str(tmp_path)).collect())
+    assert {i for i, _, kind in rows if kind == "clean" and i % 5} <= set(kept)
+    assert sum(n for i, n in kept.items() if i < 1000 and rows[i][2] == "toxic") < 0.3 * sum(kind == "toxic" for _, _, kind in rows)
+
+
+def test_bound_of_the_rate_follows_label_then_likeliest_domain(spark):
+    rows = spark.createDataFrame([(1, [0.1, 0.9]), (2, [0.9, 0.1]), (3, [0.9, 0.1]), (4, [0.1, 0.9]), (5, [0.5, 0.5]), (None, [0.9, 0.1])], "doc_id bigint, posterior array<double>")
+    labels = spark.createDataFrame([(1, "clean"), (2, "low"), (3, None), (None, "low")], "doc_id bigint, domain string")
+    least = lambda *keep: {r.doc_id: r.least for r in mixing.least_rates(rows, labels, ["clean", "low"], keep).collect()}
+    assert least("clean") == {1: 1.0, 2: 0.0, 3: 1.0, 4: 0.0, 5: 1.0, None: 1.0}
+    assert set(least().values()) == {0.0}
+
+
 def test_domains_take_the_most_severe_label(spark):
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 1), (2, 0, 0), (3, 1, 0), (4, None, None)], "doc_id bigint, quality int, toxic int")
     assert {r.doc_id: r.domain for r in mixing.domains_of(labels).collect()} == {1: "toxic", 2: "low", 3: "clean", 4: "clean"}

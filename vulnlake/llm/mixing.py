@@ -3,7 +3,9 @@
 A classifier trained on a labelled table gives every document a posterior over domains. Document rates ``w >= 0``
 are then fitted so that the expected tokens of each domain, ``sum(w * tokens * posterior)``, match the targets, by
 projected-gradient least squares: each step is one aggregate of a few numbers per domain over all documents, and
-every document moves its own rate along the residual and is cut off at zero. Steps are preconditioned by tokens (a
+every document moves its own rate along the residual and is cut off at its least rate: one for documents of a domain
+in ``KEEP`` (by their label, or else by their likeliest domain), zero for the others. The cut is part of every step, so
+the other documents make up for what the kept ones hold of a domain that is to shrink. Steps are preconditioned by tokens (a
 document's size) and by domain (the tokens it has now), so a few dozen suffice. Rates start at one, and the
 regularisation is the starting point: a document moves no further than the targets need.
 
@@ -36,6 +38,8 @@ TRAIN_ROWS = 20_000
 WRITE_EVERY = 8
 #: The registered mixture: target tokens of each domain as a multiple of what it has.
 MIXTURE = {"clean": 1.1, "low": 0.5, "toxic": 0.1}
+#: Domains whose documents each stay at least once.
+KEEP = ("clean",)
 
 
 @dataclass
@@ -104,9 +108,24 @@ def fit(documents: DataFrame, labelled: DataFrame, rows: int = TRAIN_ROWS, seed:
     return Classifier(domains, vocabulary, model)
 
 
+def least_rates(rows: DataFrame, labelled: DataFrame, domains: list[str], keep: tuple[str, ...] = KEEP) -> DataFrame:
+    """``rows`` with ``least``, the bound of their rate: one where the label, or else the likeliest domain, is in ``keep``.
+
+    An id labelled more than once is kept if one of its labels says so; a tie for the likeliest domain counts as kept.
+    """
+    known = labelled.where(F.col("domain").isNotNull() & F.col("doc_id").isNotNull())
+    said = known.groupBy(F.col("doc_id").alias("_labelled")).agg(F.max(F.col("domain").isin(list(keep)).cast("int")).alias("_said"))
+    likely = [F.col("posterior")[k] >= F.array_max("posterior") for k, name in enumerate(domains) if name in keep]
+    guess = F.greatest(F.lit(0), *[x.cast("int") for x in likely]) if likely else F.lit(0)
+    joined = rows.join(said, F.col("doc_id") == F.col("_labelled"), "left")
+    return joined.withColumn("least", F.coalesce("_said", guess).cast("double")).drop("_labelled", "_said")
+
+
 def fit_rates(rows: DataFrame, targets: list[float], steps: int = 60, tolerance: float = 1e-3) -> tuple[DataFrame, list[list[float]]]:
     """Rates of ``rows`` (with ``tokens`` and ``posterior``) whose expected domain tokens match ``targets``.
 
+    No rate falls below the row's ``least`` (zero where ``rows`` has no such column).
+
     Also returns the domain totals at every step, the last those of the rates returned. ``tolerance`` is a share of
     all tokens. A rate is a function of the residuals so far, so steps are chained as an expression; after
     ``WRITE_EVERY`` of them the rates are written, so the expression stays short and a lost executor costs little.
@@ -117,6 +136,7 @@ def fit_rates(rows: DataFrame, targets: list[float], steps: int = 60, tolerance:
     if not d:
         return rows, [[]]
     has = F.col("tokens") > 0
+    least = F.col("least") if "least" in rows.columns else F.lit(0.0)
 
     def totals(frame: DataFrame) -> np.ndarray:
         return np.array(frame.agg(*[F.coalesce(F.sum(F.col("rate") * F.col("tokens") * F.col("posterior")[k]), F.lit(0.0)) for k in range(d)]).first(), float)
@@ -135,7 +155,7 @@ def fit_rates(rows: DataFrame, targets: list[float], steps: int = 60, tolerance:
             return rows, history
         pull = [float(step * r / m) for r, m in zip(residual, natural)]
         move = sum((F.col("posterior")[k] * pull[k] for k in range(d)), F.lit(0.0))
-        rows = rows.withColumn("rate", F.when(has, F.greatest(F.lit(0.0), F.col("rate") - move)).otherwise(F.col("rate")))
+        rows = rows.withColumn("rate", F.when(has, F.greatest(least, F.col("rate") - move)).otherwise(F.col("rate")))
         if n % WRITE_EVERY == WRITE_EVERY - 1:
             rows = C.stage(rows, f"{folder}/{n}")
     history.append(totals(rows).tolist())
@@ -146,13 +166,15 @@ def copies(rate: Column, key: str, seed: str = "mix") -> Column:
     return (F.floor(rate) + (C.fraction(key, seed=seed) < rate - F.floor(rate)).cast("int")).cast("int")
 
 
-def mixed(documents: DataFrame, labelled: DataFrame, shares: dict[str, float], train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """Per document: ``doc_id``, ``tokens``, ``posterior``, ``rate`` and ``copies``.
+def mixed(documents: DataFrame, labelled: DataFrame, shares: dict[str, float], train_rows: int = TRAIN_ROWS, keep: tuple[str, ...] = KEEP) -> DataFrame:
+    """Per document: ``doc_id``, ``tokens``, ``posterior``, ``least``, ``rate`` and ``copies``.
 
-    ``shares`` gives each domain's target as a multiple of the tokens it has now (1 where not named).
+    ``shares`` gives each domain's target as a multiple of the tokens it has now (1 where not named); documents of the
+    domains in ``keep`` stay at least once each.
     """
     classifier = fit(documents, labelled, train_rows)
     rows = classifier.posteriors(worded(documents.select("doc_id", "text")).drop("text"))
+    rows = least_rates(rows, labelled, classifier.domains, keep)
     rows = C.stage(rows, C.scratch(documents.sparkSession, "posteriors"))
     d = len(classifier.domains)
     now = rows.agg(*[F.coalesce(F.sum(F.col("tokens") * F.col("posterior")[k]), F.lit(0.0)) for k in range(d)]).first() if d else []
