@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vulnlake.llm import bpe, chat_format, common, exact_dedup, license_scan, mixing, near_dedup, quality_rules, secret_scan, sharding, warc
+from vulnlake.llm import bpe, chat_format, common, decontamination, exact_dedup, license_scan, merkle, mixing, near_dedup, quality_rules, secret_scan, sharding, warc
 
 SHARDS = 40
 SHARD_SEED = "shard"
@@ -108,6 +108,33 @@ def op10_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tables)
 
 
+def op12_sibling_shift_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents, a tree per source, and a check of every proof against partly altered texts."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    altered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = merkle.digest(*fields, F.col("text"))
+    probe = F.when(altered, merkle.digest(*fields, F.translate("text", upper, lower)))
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", leaf.alias("leaf"), probe.alias("probe"))
+    proofs = merkle.manifest(rows, "doc_id", "source", held=("probe",))
+    found = proofs.withColumn("folded_root", merkle.folded(F.coalesce("probe", "leaf"), F.col("path")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in all documents: exact ones, and items nearly met (words up to two places off)."""
+    index = common.stage(decontamination.built(table(spark, sf_dir, "documents")), common.scratch(spark, "positional-index"))
+    rows = decontamination.judged(index, decontamination.phrases(table(spark, sf_dir, "benchmark")))
+    return rows.select(
+        F.col("key").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near").cast("long").alias("n_near"),
+    )
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_soft_mixture, op2_interleaved_shards, op3_forest_secrets, op4_digest_index, op5_preference_format, op6_diagonal_votes, op7_gzip_normaliser, op8_rule_ledger, op9_super_minhash, op10_rank_array_bpe)
+    f.__name__: f for f in (op1_soft_mixture, op2_interleaved_shards, op3_forest_secrets, op4_digest_index, op5_preference_format, op6_diagonal_votes, op7_gzip_normaliser, op8_rule_ledger, op9_super_minhash, op10_rank_array_bpe, op12_sibling_shift_manifest, op13_positional_index)
 }

@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+from vulnlake.llm import decontamination as D
 from vulnlake.llm import license_scan as L
 from vulnlake.llm import quality_rules as R
 
@@ -179,6 +180,106 @@ SELECT doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(root, doc_id) AS compone
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)
 """
 
+def merkle(levels: int = 7, arity: int = 16) -> str:
+    """The manifest with its levels written out: trees of up to ``arity ** levels`` leaves."""
+    field = lambda c: f"coalesce(CAST(octet_length(encode(CAST({c} AS VARCHAR))) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    crc = (
+        "xor(4294967295, list_reduce(list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), "
+        "lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT)), "
+        "lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295))"
+    )
+
+    def climb(name: str) -> str:
+        parts = []
+        for k in range(levels):
+            parts.append(f"""{name}{k + 1} AS (
+              SELECT tree, idx // {arity} AS idx, any_value(size) AS width, array_agg(digest ORDER BY idx) AS kids,
+                CASE WHEN any_value(size) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY idx)) END AS digest,
+                CAST((any_value(size) + {arity - 1}) // {arity} AS BIGINT) AS size
+              FROM {name}{k} GROUP BY tree, idx // {arity}
+            )""")
+        return ", ".join(parts)
+
+    def sides(name: str, idx: str) -> tuple[str, list[tuple[str, str]]]:
+        joins, out = [], []
+        for k in range(levels):
+            alias, slot = f"{name}_{k}", f"(({idx} // {arity**k}) % {arity})"
+            joins.append(f"JOIN {name}{k + 1} {alias} ON {alias}.tree = {name}_tree AND {alias}.idx = {idx} // {arity ** (k + 1)}")
+            left = f"CASE WHEN {alias}.width = 1 THEN '' ELSE array_to_string({alias}.kids[1:{slot}], '') END"
+            right = f"CASE WHEN {alias}.width = 1 THEN '' ELSE array_to_string({alias}.kids[{slot} + 2:], '') END"
+            out.append((f"{alias}.width", left, right))
+        return " ".join(joins), out
+
+    lower_joins, lower = sides("a", "leaf_idx")
+    upper_joins, upper = sides("u", "a_tree")
+    folds, h = [], "start"
+    for k, (width, left, right) in enumerate([*lower, *upper]):
+        folds.append(f"f{k} AS (SELECT *, CASE WHEN w{k} = 1 THEN {h} ELSE sha256(l{k} || {h} || r{k}) END AS h{k} FROM {f'f{k - 1}' if k else 'paths'})")
+        h = f"h{k}"
+    named = ", ".join(f"{w} AS w{k}, {a} AS l{k}, {b} AS r{k}" for k, (w, a, b) in enumerate([*lower, *upper]))
+    proof = " || ".join(f"l{k} || r{k}" for k in range(2 * levels))
+    return rf"""
+    WITH crc AS (SELECT {_crc_step("range(256)")} AS steps),
+    d AS (
+      SELECT doc_id, source, sha256({head} || {field("text")}) AS leaf,
+        CASE WHEN coalesce({crc} % 5 = 0, false) THEN sha256({head} || {field(f"translate(text, '{UPPER}', '{LOWER}')")}) END AS probe
+      FROM documents, crc
+    ),
+    trees AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) AS size FROM d GROUP BY source),
+    a0 AS (
+      SELECT tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, leaf AS digest, CAST(size AS BIGINT) AS size, doc_id, probe
+      FROM d JOIN trees ON d.source IS NOT DISTINCT FROM trees.source
+    ),
+    {climb("a")},
+    u0 AS (SELECT 0 AS tree, tree AS idx, digest, (SELECT count(*) FROM trees) AS size FROM a{levels}),
+    {climb("u")},
+    leaves AS (SELECT doc_id, digest AS leaf, coalesce(probe, digest) AS start, tree AS a_tree, 0 AS u_tree, idx AS leaf_idx FROM a0),
+    paths AS (
+      SELECT doc_id, leaf, start, u0.digest AS subroot, u{levels}.digest AS root, {named}
+      FROM leaves {lower_joins} {upper_joins} JOIN u0 ON u0.idx = a_tree JOIN u{levels} ON true
+    ),
+    {", ".join(folds)}
+    SELECT doc_id, leaf, subroot, root, sha256({proof}) AS proof_sha256, {h} AS folded_root, {h} = root AS verified FROM f{2 * levels - 1}
+    """
+
+
+def contamination() -> str:
+    words = lambda c: f"regexp_extract_all(translate(coalesce({c}, ''), '{UPPER}', '{LOWER}'), '{LICENSE_WORD}')"
+    return rf"""
+    WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, {words("text")} AS w FROM documents),
+    b AS (SELECT item_id, {words("text")} AS w FROM benchmark),
+    p AS (
+      SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - {D.SIZE - 1}, 1) + 1), lambda i: list_slice(w, i, i + {D.SIZE - 1}))) AS phrase
+      FROM b WHERE len(w) > 0
+    ),
+    q AS MATERIALIZED (SELECT row_number() OVER () AS q, phrase, len(phrase) AS n FROM (SELECT DISTINCT phrase FROM p)),
+    t AS MATERIALIZED (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS pos, len(w) AS n_words FROM d),
+    c AS (SELECT word, count(*) AS n FROM t GROUP BY word),
+    qt AS MATERIALIZED (SELECT q, n, unnest(phrase) AS word, generate_subscripts(phrase, 1) AS place FROM q),
+    anchor AS (
+      SELECT q, n, word, place FROM (SELECT qt.*, row_number() OVER (PARTITION BY q ORDER BY coalesce(c.n, 0), place) AS rank FROM qt LEFT JOIN c USING (word)) WHERE rank = 1
+    ),
+    candidate AS MATERIALIZED (
+      SELECT q, n, row, pos - place AS start, row_number() OVER () AS id FROM anchor JOIN t USING (word)
+    ),
+    seen AS (
+      SELECT id, count(DISTINCT place) AS close, count(DISTINCT place) FILTER (WHERE pos = start + place) AS there
+      FROM candidate JOIN qt USING (q) JOIN t ON t.row = candidate.row AND t.word = qt.word AND t.pos BETWEEN start + place - {D.SLOP} AND start + place + {D.SLOP}
+      GROUP BY id
+    ),
+    met AS (SELECT row, q, start, n, there = n AS exact FROM candidate JOIN seen USING (id) WHERE close = n),
+    hit AS (SELECT row, count(DISTINCT place) AS n_hit FROM (SELECT row, unnest(range(start, start + n)) AS place FROM met WHERE exact) GROUP BY row),
+    listed AS (
+      SELECT row, string_agg(DISTINCT item, ',' ORDER BY item) FILTER (WHERE exact) AS items, count(DISTINCT item) FILTER (WHERE exact) AS n_items, count(DISTINCT item) AS n_near
+      FROM (SELECT row, exact, CAST(item_id AS VARCHAR) AS item FROM met JOIN q USING (q) JOIN p USING (phrase)) GROUP BY row
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+      sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+    FROM d LEFT JOIN hit USING (row) LEFT JOIN listed USING (row)
+    """
+
+
 SQL: dict[str, str] = {
     "op2_interleaved_shards": shards(),
     "op4_digest_index": EXACT,
@@ -187,4 +288,6 @@ SQL: dict[str, str] = {
     "op7_gzip_normaliser": WARC,
     "op8_rule_ledger": rules(),
     "op9_super_minhash": NEAR,
+    "op12_sibling_shift_manifest": merkle(),
+    "op13_positional_index": contamination(),
 }
