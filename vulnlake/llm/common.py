@@ -29,9 +29,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` once and go on from the files: cuts lineage and survives lost executors."""
-    df.write.parquet(path)
+def stage(df: DataFrame, path: str, file_rows: int = 0) -> DataFrame:
+    """Write ``df`` once and go on from the files: cuts lineage and survives lost executors.
+
+    ``file_rows`` limits the rows of a file (0: no limit), for tables whose rows are so large that a reader must not
+    take thousands of them at once.
+    """
+    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -36,6 +36,8 @@ CHUNK_PHRASES = 100_000
 #: Candidate starts held at once in a task.
 CANDIDATES = 1 << 20
 BLOCK_BITS = 24
+#: Blocks per file of a written index: a reader takes a file's blocks at once, some 8 MB each.
+FILE_BLOCKS = 16
 
 WORD_BYTES = bytes([*range(48, 58), *range(97, 123), *range(128, 256)])
 
@@ -57,7 +59,7 @@ def _one(values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
 
 
 def built(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The index of all texts, a row per block; write it before use.
+    """The index of all texts, a row per block; write it before use, with at most ``FILE_BLOCKS`` rows a file.
 
     ``keys`` and ``starts`` (with the end) are the block's texts and their first positions; ``terms`` are in order, and
     the positions of term ``i`` are ``positions[ends[i-1]:ends[i]]``.

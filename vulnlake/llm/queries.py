@@ -126,7 +126,7 @@ def op12_sibling_shift_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in all documents: exact ones, and items nearly met (words up to two places off)."""
-    index = common.stage(decontamination.built(table(spark, sf_dir, "documents")), common.scratch(spark, "positional-index"))
+    index = common.stage(decontamination.built(table(spark, sf_dir, "documents")), common.scratch(spark, "positional-index"), decontamination.FILE_BLOCKS)
     rows = decontamination.judged(index, decontamination.phrases(table(spark, sf_dir, "benchmark")))
     return rows.select(
         F.col("key").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
