@@ -1,0 +1,281 @@
+"""Alignment, manifest and decontamination against brute force."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from awkward import documents, no_documents, texts  # noqa: F401
+from pyspark.sql import functions as F
+
+from vulnlake.llm import alignment, common, decontamination, merkle, queries
+
+SF_DIR = "/root/testdata/sf0.001"
+HARD = [
+    "  leading and trailing  ",
+    "tabs\tand\r\nlines \n\n next\n",
+    "don't  you'll we've <|endoftext|> <s> </s> [UNK]",
+    "Ünïcödé ßtraße Ελληνικά кириллица 漢字かな交じり文 한국어 🙂🙃👩‍👩‍👧",
+    "no-break space 　ideographic  em \u0085 next \x1c file",
+    "a▁b", "▁", " ▁ x", "\x00 null \x00", "x" * 5000, "漢" * 700, " " * 300, "a " * 300, "combining é ́ x",
+    "The same words, the same words, the same words.", "1234567890 12 3 4,5.6 %$#@!", "\n", "\t \t",
+]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode() if isinstance(text, str) else text).hexdigest()
+
+
+# --- alignment -------------------------------------------------------------------------------------------------
+
+
+def brute_alignment(rows):
+    """Groups by common ends, links by group, counts over all texts; whole texts through the libraries."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(public_tokenizers.path(alignment.A_FILE))
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(alignment.B_FILE))
+    letters = {c: n for n, c in enumerate(alignment.byte_letters())}
+    a_bytes = lambda i: bytes(letters[c] for c in a.id_to_token(i))
+    b_bytes = lambda i: bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()
+    parsed, count = [], Counter()
+    for key, text in rows:
+        groups = []
+        if text:
+            x, y = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+            whole = (" " + text).encode()
+            if b"".join(map(a_bytes, x)) == whole == b"".join(map(b_bytes, y)):
+                x_ends, y_ends = np.cumsum([len(a_bytes(i)) for i in x]).tolist(), np.cumsum([len(b_bytes(i)) for i in y]).tolist()
+                last = 0
+                for cut in sorted(set(x_ends) & set(y_ends)):
+                    groups.append(([i for i, e in zip(x, x_ends) if last < e <= cut] if len(x) < 400 else x[np.searchsorted(x_ends, last, "right") : np.searchsorted(x_ends, cut, "right")],
+                                   y[np.searchsorted(y_ends, last, "right") : np.searchsorted(y_ends, cut, "right")]))
+                    last = cut
+        links = Counter((i, j) for one, two in groups for i in one for j in two)
+        count.update(links.keys())
+        parsed.append((key, groups, links))
+    highest = defaultdict(int)
+    for (i, _), n in count.items():
+        highest[i] = max(highest[i], n)
+    out = []
+    for key, groups, links in parsed:
+        text = ";".join(",".join(map(str, one)) + "|" + ",".join(map(str, two)) for one, two in groups)
+        out.append((
+            key, sum(len(g[0]) for g in groups), sum(len(g[1]) for g in groups), len(groups), sum(links.values()),
+            sum(n for p, n in links.items() if count[p] == highest[p[0]]), sum(n * count[p] for p, n in links.items()), sha(text) if text else "",
+        ))
+    return out
+
+
+def aligned_rows(df):
+    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    return sorted((tuple(r[c] for c in names) for r in df.collect()), key=str)
+
+
+@pytest.fixture(scope="module")
+def tokenizers(spark):
+    return alignment.share(spark, public_tokenizers.path(alignment.A_FILE), public_tokenizers.path(alignment.B_FILE))
+
+
+def test_alignment_of_awkward_texts(spark, tokenizers, documents):  # noqa: F811
+    hard = spark.createDataFrame([(100 + n, t) for n, t in enumerate(HARD)], "doc_id bigint, text string")
+    rows = documents.select("doc_id", "text").unionByName(hard).repartition(3)
+    written = common.stage(alignment.blocks(rows, tokenizers, keep_groups=True), common.scratch(spark, "t"), alignment.FILE_BLOCKS)
+    found = alignment.aligned(written)
+    assert aligned_rows(found) == sorted(brute_alignment([tuple(r) for r in rows.collect()]), key=str)
+    for row in found.collect():
+        assert row["groups_sha256"] == (sha(row["groups"]) if row["groups"] else "")
+
+
+def test_alignment_query_over_all_documents(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
+    assert aligned_rows(queries.op11_pointer_alignment(spark, SF_DIR)) == sorted(brute_alignment(rows), key=str)
+
+
+def test_alignment_in_small_blocks_with_a_small_memory(spark, tokenizers, documents, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(alignment, "CACHE_SEGMENTS", 3)
+    monkeypatch.setattr(alignment, "ENCODE_BYTES", 40)
+    monkeypatch.setattr(alignment, "EXPAND", 4)
+    monkeypatch.setattr(common, "CHUNK_BYTES", 100)
+    rows = documents.select("doc_id", "text").where("length(text) < 1000 OR text IS NULL").coalesce(1)
+    written = common.stage(alignment.blocks(rows, tokenizers), common.scratch(spark, "t"), 1)
+    assert written.count() > 3
+    assert aligned_rows(alignment.aligned(written)) == sorted(brute_alignment([tuple(r) for r in rows.collect()]), key=str)
+
+
+def test_alignment_of_nothing(spark, tokenizers, no_documents):  # noqa: F811
+    written = common.stage(alignment.blocks(no_documents, tokenizers), common.scratch(spark, "t"))
+    assert alignment.aligned(written).collect() == []
+
+
+def test_pointers_meet_at_the_last_token_of_a_component():
+    generator = random.Random(5)
+    for _ in range(200):
+        size = generator.randint(1, 40)
+        cut = lambda: np.array(sorted({*(generator.sample(range(1, size + 1), generator.randint(0, size))), size}))
+        a, b = cut(), cut()
+        one, two = alignment.jumped(a, b)
+        shared = sorted(set(a.tolist()) & set(b.tolist()))
+        assert one.tolist() == np.searchsorted(shared, a).tolist()
+        assert two.tolist() == np.searchsorted(shared, b).tolist()
+
+
+# --- manifest --------------------------------------------------------------------------------------------------
+
+
+def brute_tree(leaves, arity):
+    """The top, and each leaf's siblings by level as (left, right)."""
+    paths, level, members = [[] for _ in leaves], list(leaves), [[k] for k in range(len(leaves))]
+    while len(level) > 1:
+        above, held = [], []
+        for first in range(0, len(level), arity):
+            run = level[first : first + arity]
+            for k in range(len(run)):
+                for leaf in members[first + k]:
+                    paths[leaf].append(("".join(run[:k]), "".join(run[k + 1 :])))
+            above.append(sha("".join(run)))
+            held.append([leaf for m in members[first : first + arity] for leaf in m])
+        level, members = above, held
+    return level[0], paths
+
+
+def brute_manifest(rows, arity):
+    """``rows``: key, tree, leaf."""
+    trees = defaultdict(list)
+    for key, tree, leaf in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[2])):
+        trees[tree].append((key, leaf))
+    order = sorted(trees, key=lambda t: (t is not None, (t or "").encode()))
+    tops = {t: brute_tree([leaf for _, leaf in trees[t]], arity) for t in order}
+    root, upper = brute_tree([tops[t][0] for t in order], arity)
+    return sorted(
+        ((key, leaf, tops[t][0], root, path + upper[n]) for n, t in enumerate(order) for (key, leaf), path in zip(trees[t], tops[t][1])), key=str
+    )
+
+
+def manifest_rows(df):
+    return sorted(((r["doc_id"], r["leaf"], r["subroot"], r["root"], [(p["left"], p["right"]) for p in r["path"]]) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("arity", [2, 3, 16])
+def test_manifest_of_awkward_rows(spark, documents, arity):  # noqa: F811
+    leaves = documents.withColumn("leaf", merkle.digest(F.col("doc_id"), F.col("source"), F.col("text")))
+    rows = [(r["doc_id"], r["source"], r["leaf"]) for r in leaves.collect()]
+    found = merkle.manifest(leaves, "doc_id", "source", arity=arity)
+    assert manifest_rows(found) == brute_manifest(rows, arity)
+    assert found.where(merkle.folded(F.col("leaf"), F.col("path")) != F.col("root")).count() == 0
+    assert found.where(merkle.folded(F.sha2("leaf", 256), F.col("path")) == F.col("root")).count() == 0
+
+
+@pytest.mark.parametrize(("rows", "arity"), [(1, 2), (17, 16), (257, 16), (300, 2)])
+def test_manifest_of_one_source(spark, rows, arity):
+    leaves = spark.range(rows).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.sha2(F.col("id").cast("string"), 256).alias("leaf"))
+    want = brute_manifest([(r["doc_id"], r["source"], r["leaf"]) for r in leaves.collect()], arity)
+    assert manifest_rows(merkle.manifest(leaves.repartition(5), "doc_id", "source", arity=arity)) == want
+
+
+def test_manifest_of_many_sources_and_of_nothing(spark, no_documents):  # noqa: F811
+    leaves = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("é"), F.col("id") % 37).alias("source"), F.sha2(F.col("id").cast("string"), 256).alias("leaf"))
+    want = brute_manifest([(r["doc_id"], r["source"], r["leaf"]) for r in leaves.collect()], 16)
+    assert manifest_rows(merkle.manifest(leaves, "doc_id", "source")) == want
+    assert merkle.manifest(no_documents.withColumn("leaf", F.lit("x")), "doc_id", "source").collect() == []
+
+
+def test_manifest_query(spark):
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    field = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    leaf = lambda r, text: sha("".join(map(field, (r["doc_id"], r["source"], r["lang"], r["n_chars"], text))))
+    start = {r["doc_id"]: leaf(r, r["text"].translate(lower) if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 else r["text"]) for r in documents}
+    want = []
+    for key, own, subroot, root, path in brute_manifest([(r["doc_id"], r["source"], leaf(r, r["text"])) for r in documents], 16):
+        h = start[key]
+        for left, right in path:
+            h = sha(left + h + right)
+        want.append((key, own, subroot, root, sha("".join(a + b for a, b in path)), h, h == root))
+    names = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    got = sorted(tuple(r[c] for c in names) for r in queries.op12_sibling_shift_manifest(spark, SF_DIR).collect())
+    assert got == sorted(want)
+    assert {r[6] for r in got} == {True, False}
+
+
+# --- decontamination -------------------------------------------------------------------------------------------
+
+
+def words(text):
+    data = (text or "").encode().translate(bytes(common.lower_ascii()))
+    return "".join(chr(b) if b in decontamination.WORD_BYTES else " " for b in data).split(" ") if data else []
+
+
+def brute_contamination(documents, items, size, slop):  # noqa: F811
+    documents = [(k, [w for w in words(t) if w]) for k, t in documents]
+    count = Counter(w for _, ws in documents for w in ws)
+    phrases = defaultdict(set)
+    for item, text in items:
+        ws = [w for w in words(text) if w]
+        for k in range(max(len(ws) - size + 1, 1) if ws else 0):
+            phrases[tuple(ws[k : k + size])].add(item)
+    out = []
+    for key, ws in documents:
+        hit, exact, near = set(), set(), set()
+        for phrase, owners in phrases.items():
+            anchor = min(range(len(phrase)), key=lambda k: (count[phrase[k]], k))
+            for at, w in enumerate(ws):
+                if w != phrase[anchor]:
+                    continue
+                start = at - anchor
+                if start >= 0 and ws[start : start + len(phrase)] == list(phrase):
+                    exact |= owners
+                    near |= owners
+                    hit |= set(range(start, start + len(phrase)))
+                elif all(p in ws[max(start + k - slop, 0) : max(start + k + slop + 1, 0)] for k, p in enumerate(phrase) if k != anchor):
+                    near |= owners
+        out.append((key, len(ws), len(hit), sorted(map(str, exact)), sorted(map(str, near))))
+    return sorted(out, key=str)
+
+
+def judged_rows(df):
+    return sorted(((r["key"], r["n_words"], r["n_hit"], r["items"], r["near"]) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("chunk", [1000, 3])
+def test_contamination_of_awkward_texts(spark, documents, chunk):  # noqa: F811
+    base = [t for _, t, *_ in texts() if t]
+    items = [
+        (1, base[0]), (2, "THE LAZY-dog while seven"), (3, "two words"), (4, None), (5, ""), (6, "line one line one"), (7, "not there at all"),
+        (8, "quick brown fox jumps over lazy dog while seven wise owls"), (9, "the quick brown fox jumps over the very lazy dog while seven"),
+        (10, "two words"), (11, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 w13"), (2, "THE LAZY-dog while seven"), (12, "fox brown"),
+    ]
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    index = common.stage(decontamination.built(documents), common.scratch(spark, "t"), 1)
+    found = decontamination.judged(index, decontamination.phrases(table), chunk=chunk)
+    want = brute_contamination([(r["doc_id"], r["text"]) for r in documents.collect()], items, 10, 2)
+    assert judged_rows(found) == want
+    assert any(len(w[4]) > len(w[3]) for w in want)
+
+
+def test_contamination_of_random_words(spark, monkeypatch):
+    monkeypatch.setattr(common, "CHUNK_BYTES", 400)
+    monkeypatch.setattr(decontamination, "CANDIDATES", 5)
+    generator = random.Random(3)
+    text = lambda n: " ".join(generator.choices("abcde", weights=[9, 5, 3, 1, 1], k=n))
+    rows = [(n, text(generator.randint(0, 60))) for n in range(120)]
+    items = [(n, text(generator.randint(0, 9))) for n in range(25)]
+    index = common.stage(decontamination.built(spark.createDataFrame(rows, "doc_id bigint, text string")), common.scratch(spark, "t"))
+    for slop in (0, 1):
+        phrases = decontamination.phrases(spark.createDataFrame(items, "item_id bigint, text string"), size=4)
+        assert judged_rows(decontamination.judged(index, phrases, slop=slop)) == brute_contamination(rows, items, 4, slop)
+
+
+def test_contamination_of_nothing(spark, documents, no_documents):  # noqa: F811
+    items = spark.createDataFrame([(1, "two words")], "item_id bigint, text string")
+    index = common.stage(decontamination.built(no_documents), common.scratch(spark, "t"))
+    assert decontamination.judged(index, decontamination.phrases(items)).collect() == []
+    index = common.stage(decontamination.built(documents), common.scratch(spark, "t"))
+    found = decontamination.judged(index, decontamination.phrases(items.limit(0))).collect()
+    assert len(found) == documents.count()
+    assert not any(r["n_hit"] or r["items"] or r["near"] for r in found)

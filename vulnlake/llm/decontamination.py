@@ -37,7 +37,7 @@ CHUNK_PHRASES = 100_000
 CANDIDATES = 1 << 20
 BLOCK_BITS = 24
 #: Blocks per file of a written index: a reader takes a file's blocks at once, some 8 MB each.
-FILE_BLOCKS = 16
+FILE_BLOCKS = 8
 
 WORD_BYTES = bytes([*range(48, 58), *range(97, 123), *range(128, 256)])
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vulnlake.llm import bpe, chat_format, common, decontamination, exact_dedup, license_scan, merkle, mixing, near_dedup, quality_rules, secret_scan, sharding, warc
+from vulnlake.llm import alignment, bpe, chat_format, common, decontamination, exact_dedup, license_scan, merkle, mixing, near_dedup, quality_rules, secret_scan, sharding, warc
 
 SHARDS = 40
 SHARD_SEED = "shard"
@@ -108,6 +108,16 @@ def op10_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tables)
 
 
+def op11_pointer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned in all documents, with corpus-wide counts of the linked id pairs."""
+    tokenizers = alignment.share(spark, public_tokenizers.path(alignment.A_FILE), public_tokenizers.path(alignment.B_FILE))
+    written = alignment.blocks(table(spark, sf_dir, "documents"), tokenizers)
+    written = common.stage(written, common.scratch(spark, "alignment"), alignment.FILE_BLOCKS)
+    return alignment.aligned(written).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
 def op12_sibling_shift_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle manifest of all documents, a tree per source, and a check of every proof against partly altered texts."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -136,5 +146,5 @@ def op13_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_soft_mixture, op2_interleaved_shards, op3_forest_secrets, op4_digest_index, op5_preference_format, op6_diagonal_votes, op7_gzip_normaliser, op8_rule_ledger, op9_super_minhash, op10_rank_array_bpe, op12_sibling_shift_manifest, op13_positional_index)
+    f.__name__: f for f in (op1_soft_mixture, op2_interleaved_shards, op3_forest_secrets, op4_digest_index, op5_preference_format, op6_diagonal_votes, op7_gzip_normaliser, op8_rule_ledger, op9_super_minhash, op10_rank_array_bpe, op11_pointer_alignment, op12_sibling_shift_manifest, op13_positional_index)
 }
