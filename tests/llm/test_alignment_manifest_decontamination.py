@@ -41,21 +41,19 @@ def brute_alignment(rows):
     a.encode_special_tokens = True
     b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(alignment.B_FILE))
     letters = {c: n for n, c in enumerate(alignment.byte_letters())}
-    a_bytes = lambda i: bytes(letters[c] for c in a.id_to_token(i))
-    b_bytes = lambda i: bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()
+    a_bytes = {i: bytes(letters[c] for c in t) for t, i in a.get_vocab().items() if t != "<|endoftext|>"}
+    b_bytes = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in range(b.get_piece_size())]
     parsed, count = [], Counter()
     for key, text in rows:
         groups = []
         if text:
             x, y = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
             whole = (" " + text).encode()
-            if b"".join(map(a_bytes, x)) == whole == b"".join(map(b_bytes, y)):
-                x_ends, y_ends = np.cumsum([len(a_bytes(i)) for i in x]).tolist(), np.cumsum([len(b_bytes(i)) for i in y]).tolist()
-                last = 0
-                for cut in sorted(set(x_ends) & set(y_ends)):
-                    groups.append(([i for i, e in zip(x, x_ends) if last < e <= cut] if len(x) < 400 else x[np.searchsorted(x_ends, last, "right") : np.searchsorted(x_ends, cut, "right")],
-                                   y[np.searchsorted(y_ends, last, "right") : np.searchsorted(y_ends, cut, "right")]))
-                    last = cut
+            if b"".join(a_bytes[i] for i in x) == whole == b"".join(b_bytes[i] for i in y):
+                x_ends, y_ends = np.cumsum([len(a_bytes[i]) for i in x]), np.cumsum([len(b_bytes[i]) for i in y])
+                cuts = np.intersect1d(x_ends, y_ends)
+                x_at, y_at = ([0, *(np.searchsorted(e, cuts) + 1).tolist()] for e in (x_ends, y_ends))
+                groups = [(x[p:q], y[r:s]) for p, q, r, s in zip(x_at, x_at[1:], y_at, y_at[1:])]
         links = Counter((i, j) for one, two in groups for i in one for j in two)
         count.update(links.keys())
         parsed.append((key, groups, links))
@@ -101,7 +99,7 @@ def test_alignment_in_small_blocks_with_a_small_memory(spark, tokenizers, docume
     monkeypatch.setattr(alignment, "CACHE_SEGMENTS", 3)
     monkeypatch.setattr(alignment, "ENCODE_BYTES", 40)
     monkeypatch.setattr(alignment, "EXPAND", 4)
-    monkeypatch.setattr(common, "CHUNK_BYTES", 100)
+    monkeypatch.setattr(alignment, "BLOCK_BYTES", 100)
     rows = documents.select("doc_id", "text").where("length(text) < 1000 OR text IS NULL").coalesce(1)
     written = common.stage(alignment.blocks(rows, tokenizers), common.scratch(spark, "t"), 1)
     assert written.count() > 3

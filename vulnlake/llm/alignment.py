@@ -35,7 +35,9 @@ from vulnlake.llm.bpe import byte_letters
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE_LETTER = "▁"
 #: Segments remembered in a task; then it starts anew.
-CACHE_SEGMENTS = 200_000
+CACHE_SEGMENTS = 300_000
+#: Bytes of text in a block, but for one longer text.
+BLOCK_BYTES = 2 << 20
 #: Bytes of new segments encoded at once.
 ENCODE_BYTES = 1 << 18
 #: Pairs written out at once when groups are expanded.
@@ -126,7 +128,7 @@ class Aligner:
     def _encode(self, text: bytes) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of both, or nothing where they do not give back the bytes. ``text`` begins with a space."""
         whole = text.decode()
-        a, b = self.a.encode(whole, add_special_tokens=False).ids, self.b.encode(whole[1:], num_threads=1)
+        a, b = self.a.encode_batch_fast([whole], add_special_tokens=False)[0].ids, self.b.encode(whole[1:], num_threads=1)
         if b"".join(map(self.a_bytes.__getitem__, a)) != text or b"".join(map(self.b_bytes.__getitem__, b)) != text:
             return None
         return np.array(a, np.int64), np.array(b, np.int64)
@@ -170,9 +172,9 @@ class Aligner:
             self.counts[name].add(np.diff(total(values)[g_at]))
         self.bad.add(~ok)
 
-        marks = [str(i) for i in a.tolist()], [str(i) for i in b.tolist()]
-        each = [",".join(marks[0][p:q]) + "|" + ",".join(marks[1][r:s]) for p, q, r, s in zip(a_at.tolist(), a_at[1:].tolist(), b_at.tolist(), b_at[1:].tolist())]
-        self.text += [";".join(each[p:q]).encode() for p, q in zip(g_at.tolist(), g_at[1:].tolist())]
+        data, starts = _written(a, b, a_group, b_group, a_at, b_at)
+        edges = starts[g_at].tolist()
+        self.text += [data[p : max(p, q - 1)] for p, q in zip(edges, edges[1:])]
 
         owner = np.repeat(np.arange(len(segments)), np.diff(g_at))
         parts = [_pairs(a, b, a_at, b_at, owner, first, end) for first, end in _steps(n_a * n_b)]
@@ -193,6 +195,29 @@ class Aligner:
         return self.pair[where], self.times[where], n
 
 
+def _written(a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, a_at: np.ndarray, b_at: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """All groups as text, ``a1,a2|b1;`` each, and where each group's text starts (and the end)."""
+    total = len(a) + len(b)
+    ids, marks = np.empty(total, np.int64), np.full(total, ord(","), np.uint8)
+    ids[np.arange(len(a)) + b_at[a_group]] = a
+    ids[np.arange(len(b)) + a_at[b_group + 1]] = b
+    marks[a_at[1:] + b_at[:-1] - 1] = ord("|")
+    marks[a_at[1:] + b_at[1:] - 1] = ord(";")
+    size = np.ones(total, np.int64)
+    bound = 10
+    while bound <= ids.max(initial=0):
+        size += ids >= bound
+        bound *= 10
+    ends = np.cumsum(size + 1)
+    out = np.empty(ends[-1] if total else 0, np.uint8)
+    out[ends - 1] = marks
+    for k in range(int(size.max(initial=0))):
+        live = size > k
+        out[ends[live] - 2 - k] = 48 + ids[live] % 10
+        ids //= 10
+    return out.tobytes(), np.concatenate([[0], ends])[a_at + b_at]
+
+
 def _steps(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
     """Ranges of groups with some ``EXPAND`` links each; a larger group is a range of its own."""
     sums, first = np.cumsum(sizes), 0
@@ -319,7 +344,7 @@ def blocks(df: DataFrame, tokenizers: Broadcast, key: str = "doc_id", text: str
         aligner = Aligner(*tokenizers.value)
         block = TaskContext.get().partitionId() << BLOCK_BITS
         for batch in source:
-            for first, end, data, at in C.text_chunks(batch, text):
+            for first, end, data, at in C.text_chunks(batch, text, BLOCK_BYTES):
                 keys = batch.column(key).slice(first, end - first)
                 row = {"block": pa.array([block], pa.int64()), "keys": pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys)}
                 row |= _block(aligner, data, at, keep_groups)

@@ -91,11 +91,12 @@ def _all(conditions: list[Column]) -> Column:
 CHUNK_BYTES = 4 << 20
 
 
-def text_chunks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_chunks(batch: pa.RecordBatch, column: str, size: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices of a batch: first row, end row, the texts' bytes in a row, and where each text starts (and the end).
 
-    Null texts are empty.
+    Null texts are empty. A slice has ``size`` bytes at most (by default ``CHUNK_BYTES``), but for one longer text.
     """
+    size = size or CHUNK_BYTES
     texts = batch.column(column).cast(pa.large_string())
     if not len(texts):
         return
@@ -104,7 +105,7 @@ def text_chunks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int,
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(texts):
-        end = max(first + 1, int(np.searchsorted(at, at[first] + CHUNK_BYTES, "right")) - 1)
+        end = max(first + 1, int(np.searchsorted(at, at[first] + size, "right")) - 1)
         end = min(end, len(texts))
         yield first, end, raw[at[first] : at[end]], at[first : end + 1] - at[first]
         first = end
