@@ -35,7 +35,7 @@ from vulnlake.llm.bpe import byte_letters
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE_LETTER = "▁"
 #: Segments remembered in a task; then it starts anew.
-CACHE_SEGMENTS = 300_000
+CACHE_SEGMENTS = 200_000
 #: Bytes of text in a block, but for one longer text.
 BLOCK_BYTES = 2 << 20
 #: Bytes of new segments encoded at once.
@@ -350,6 +350,8 @@ def blocks(df: DataFrame, tokenizers: Broadcast, key: str = "doc_id", text: str
                 row |= _block(aligner, data, at, keep_groups)
                 yield pa.RecordBatch.from_arrays([row[c] for c in ("block", *lists)], ["block", *lists])
                 block += 1
+        del aligner
+        C.give_back()
 
     return df.select(key, text).mapInArrow(batches, ", ".join(["block bigint", *(f"{c} array<{t}>" for c, t in lists.items())]))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import tempfile
 import uuid
@@ -85,6 +87,15 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
+def give_back() -> None:
+    """Return a Python worker's free memory to the system: it waits for its next task beside the JVM's own."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 # --- text batches in tasks -------------------------------------------------------------------------------------
 
 #: Bytes of text handled at once in a task; a longer text forms a chunk of its own.
