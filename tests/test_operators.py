@@ -99,9 +99,9 @@ def test_ties_do_not_depend_on_the_day_of_the_run(spark):
 def test_merge_keeps_ids_without_a_year(spark, tmp_path):
     base = str(tmp_path / "base")
     incremental.init_base(spark, base)
-    for n, odd in enumerate(("odd-1", "odd-2")):
+    for odd in ("odd-1", "odd-2"):
         rows = spark.createDataFrame([(odd, "2024-01-01T00:00:00")], "cve_id string, last_modified string")
-        incremental.merge_increment(spark, base, align_to_schema(rows, CLEANED_SCHEMA), str(tmp_path / f"stage{n}"))
+        incremental.merge_increment(spark, base, align_to_schema(rows, CLEANED_SCHEMA))
     assert sorted(r["cve_id"] for r in incremental.scan_base(spark, base).collect()) == ["odd-1", "odd-2"]
 
 
@@ -352,11 +352,16 @@ def test_marks_and_asked_windows(spark, tmp_path):
     now = datetime(2026, 10, 12, 6, tzinfo=timezone.utc)
     path = str(tmp_path / "control")
     incremental.init_control(spark, path)
-    assert incremental.mark(spark, path) == (None, None)
-    incremental.advance(spark, path, now, "b7")
+    assert incremental.high_water(spark, path) is None
+    handled = spark.createDataFrame([("b7", "v1"), ("b8", "v1")], "landed string, version string")
+    incremental.advance(spark, path, now, handled)
     incremental.advance(spark, path, datetime(2026, 10, 1))
     incremental.init_control(spark, path)
-    assert incremental.mark(spark, path) == (now, "b7") and incremental.high_water(spark, path) == now
+    assert incremental.high_water(spark, path) == now
+    rows = incremental.scan_control(spark, path).collect()
+    assert {(r["landed"], r["version"]) for r in rows if r["landed"]} == {("b7", "v1"), ("b8", "v1")}
+    with pytest.raises(TypeError, match="table"):
+        incremental.advance(spark, path, now, "b7")
     assert incremental.asked_window(None, None, now)[1] == now
     assert incremental.asked_window(datetime(2026, 1, 1), now, now)[0].year == 2026
     with pytest.raises(ValueError):

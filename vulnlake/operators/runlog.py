@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vulnlake.functions.text import strip
@@ -43,3 +43,21 @@ def log_summary(lines: DataFrame, keys: list[str], text: str = "text", position:
         .agg(F.max(position).alias(position), F.max_by(line, F.col(position)).alias("summary"))
         .filter(F.col("summary").isNotNull())
     )
+
+
+def log_lines(spark: SparkSession, paths: str | list[str], text: str = "text") -> DataFrame:
+    """Lines of log files with their place: the file, and ``line_no``, which rises along it.
+
+    Places need no shuffle and no single task: blocks of a file are read in parallel, and the scan says where a row's
+    block starts; within a block, rows are numbered as they are read. Numbers rise, but have gaps.
+    """
+    lines = spark.read.text(paths).select(
+        F.col("value").alias(text), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row")
+    )
+    # A task reads its blocks one after the other, so among the rows of one block the task's numbers rise.
+    return lines.select("file", F.struct("file", "_block", "_row").alias("line_no"), text)
+
+
+def summary_of_logs(spark: SparkSession, paths: str | list[str], keys: list[str]) -> DataFrame:
+    """The last summary in a folder of log files: :func:`log_summary` over all lines, by file name and place."""
+    return log_summary(log_lines(spark, paths), keys)

@@ -607,3 +607,74 @@ FROM (SELECT o_orderpriority AS label, CASE WHEN o_orderkey % 31 = 0 THEN 0.0::d
 FROM (SELECT o_orderkey AS run_no, CASE WHEN o_orderkey % 31 = 0 THEN 0.0::double WHEN o_orderkey % 29 = 0 THEN NULL ELSE o_totalprice END AS d,
   CASE WHEN o_orderkey % 37 = 0 THEN NULL WHEN o_orderkey % 41 = 0 THEN 0 ELSE o_custkey END AS r FROM orders)""",
 }
+
+# ---------------------------------------------------------------- queries that write and read back
+
+STATUS = "concat_ws('|', vuln_status, line_no, part_no, supp_no)"
+LATER = "modified_ts + to_milliseconds(line_no * 3600000 + part_no * 1000 + supp_no)"
+STAMPED = f"""stamped AS (SELECT * REPLACE ({STATUS} AS vuln_status, {LATER} AS modified_ts, strftime({LATER}, '%Y-%m-%dT%H:%M:%S.%g') AS last_modified),
+  id AS cve_id FROM flat WHERE regexp_full_match(id, 'CVE-[0-9]{{4}}-[0-9]+'))"""
+NEWEST_STAMPED = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cve_id ORDER BY modified_ts DESC, vuln_status DESC) AS turn FROM stamped {0}) WHERE turn = 1"
+ARRIVED = """arrived AS (SELECT *, (n % 4 <> 0 AND "offset" % 2 = 0) OR (n % 6 = 3 AND "offset" % 2 = 1) AS early FROM routed),
+placed AS (SELECT *, row_number() OVER (PARTITION BY kind, event_id ORDER BY early DESC, "partition", "offset") AS turn FROM arrived)"""
+
+SQL |= {
+    "feed_parse": SQL["feed_flatten"],
+    "feed_quarantine": w(
+        RECORDS, NESTED,
+        select="""SELECT 'file' AS kind, k // 500 AS what, cast(1 AS bigint) AS n FROM flat WHERE (k // 500) % 7 = 3 GROUP BY 2
+  UNION ALL SELECT 'year', cast(year(published_ts) AS bigint), count(*) FROM flat WHERE (k // 500) % 7 <> 3 GROUP BY 2""",
+    ),
+    "bronze_roundtrip": w(
+        RECORDS, NESTED,
+        select=f"SELECT id, {STATUS} AS status, cast(year(published_ts) AS bigint) AS pub_year, line_no, cast(price AS double) AS price FROM flat",
+    ),
+    "bronze_slice": w(
+        RECORDS, NESTED,
+        select=f"SELECT id, {STATUS} AS status FROM flat WHERE modified_ts >= TIMESTAMP '1998-01-01' AND modified_ts < TIMESTAMP '1998-04-01'",
+    ),
+    "incremental_landing": w(
+        RECORDS, NESTED, STAMPED,
+        select=f"""SELECT cve_id, last_modified, vuln_status, severity, cast(substr(cve_id, 5, 4) AS bigint) AS id_year,
+  cast(date_diff('day', cast(published_ts AS date), DATE '2002-01-01') AS bigint) AS days_since_published
+FROM ({NEWEST_STAMPED.format("WHERE k % 4 <> 2")})""",
+    ),
+    "cleaned_roundtrip": w(
+        RECORDS, NESTED, STAMPED, f"newest AS ({NEWEST_STAMPED.format('')})", f"shown AS (SELECT {CLEANED}, count(*) OVER () AS \"of\" FROM newest)",
+        select="SELECT *, 'parquet' AS form FROM shown UNION ALL SELECT *, 'csv' FROM shown",
+    ),
+    "load_reload": w(
+        RECORDS, NESTED, STAMPED, f"newest AS ({NEWEST_STAMPED.format('')})",
+        select="""SELECT cast(year(published_ts) AS bigint) AS year, cast(month(published_ts) AS bigint) AS month,
+  cast(CASE WHEN year(published_ts) = 1996 THEN 2 ELSE 1 END AS bigint) AS copies, count(*) AS ids,
+  cast(count(severity) * CASE WHEN year(published_ts) = 1996 THEN 2 ELSE 1 END AS bigint) AS with_severity, cast(18 AS bigint) AS added
+FROM newest GROUP BY year(published_ts), month(published_ts)""",
+    ),
+    "log_folder": """SELECT concat('{"k": 1, "records": ', cast(max(event_id) AS varchar), '}') AS summary FROM events WHERE event_id % 3 = 0""",
+    "stream_ingest": w(
+        EVENTS, CHECKED, ROUTED, ARRIVED,
+        select="""SELECT event_id, "partition", "offset" FROM placed WHERE kind = 'valid' AND turn = 1""",
+    ),
+    "stream_ledger": w(
+        EVENTS, CHECKED, ROUTED, ARRIVED,
+        "copies AS (SELECT *, CASE WHEN early THEN 4 ELSE 2 END AS times FROM placed)",
+        select="""SELECT cast(sum(times) FILTER (WHERE kind IN ('valid', 'invalid')) AS bigint) AS consumed,
+  count(*) FILTER (WHERE kind = 'valid' AND turn = 1) AS inserted,
+  cast(sum(times) FILTER (WHERE kind = 'valid') - count(*) FILTER (WHERE kind = 'valid' AND turn = 1) AS bigint) AS duplicates,
+  cast(sum(times) FILTER (WHERE kind = 'invalid') AS bigint) AS invalid,
+  cast(sum(times) FILTER (WHERE kind IN ('not_json', 'not_object')) AS bigint) AS skipped,
+  cast(sum(times) FILTER (WHERE kind <> 'valid') AS bigint) AS quarantined FROM copies""",
+    ),
+    "stream_bound": w(
+        EVENTS, CHECKED, ROUTED,
+        """counted AS (SELECT * FROM routed WHERE kind IN ('valid', 'invalid') ORDER BY "partition", "offset" LIMIT 900)""",
+        select="""SELECT event_id, "partition", "offset" FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY "partition", "offset") AS turn FROM counted WHERE kind = 'valid') WHERE turn = 1""",
+    ),
+    "stream_replay": w(
+        EVENTS, CHECKED,
+        """own AS (SELECT cve_id, severity, cvss_score, vendor, n % 37 = 0 OR n % 41 = 0 OR n % 43 = 0 OR n % 47 = 0 OR n % 53 = 0 OR cvss_score > 10 AS broken FROM checked)""",
+        select="""SELECT cve_id, severity, cvss_score, vendor, true AS has_id, count(*) OVER () AS sent, (SELECT count(*) FROM own WHERE broken) AS skipped
+FROM own WHERE coalesce(broken, false) = false""",
+    ),
+}

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from vulnlake.functions import dates, ids, products, scores, sources, text, uris
 from vulnlake.operators import coverage, dedupe, flatten, marts, quality, reconcile, runlog, star, windows
 from vulnlake.plans import records as R
-from vulnlake.plans import warehouse
+from vulnlake.plans import stored, warehouse
 from vulnlake.schemas import CLEANED_COLUMNS
 from vulnlake.sources import feed, tables
 from vulnlake.streaming import events, routing
@@ -671,3 +671,6 @@ def q_run_stats(spark, sf_dir):
 @query
 def q_run_throughput(spark, sf_dir):
     return runlog.run_throughput(R.run_log(spark, sf_dir)).select("run_no", "throughput_per_second")
+
+
+REGISTRY.update(stored.REGISTRY)

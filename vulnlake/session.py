@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -10,6 +12,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # JSON objects that repeat a key keep the last value, as JSON parsers commonly do.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # State of streams grows with the ids they have seen; it belongs on disk, and only what changed into a checkpoint.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -24,10 +29,36 @@ def build_session(app_name: str = "vulnlake", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def work_dir(spark: SparkSession, fallback: str) -> str:
+def work_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder for tables that cut lineage.
 
-    The cluster names it in ``spark.checkpoint.dir``; ``fallback`` (a folder on
-    the same storage as the job's output) is used only where that is unset.
+    The cluster names it in ``spark.checkpoint.dir``; ``fallback`` (a folder on the same storage as the job's output)
+    is used only where that is unset. Without either, a local session gets a temporary folder, and a cluster is an error:
+    its executors would each write to a disk of their own.
     """
-    return spark.conf.get("spark.checkpoint.dir", None) or fallback
+    named = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return _local.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="run-"))
+
+
+_local: dict[str, str] = {}
+
+
+def _at(spark: SparkSession, path: str):
+    """A path on whatever storage it names, as Hadoop sees it: its file system and its name."""
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark._jsc.hadoopConfiguration()), name
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, name = _at(spark, path)
+    return system.exists(name)
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of the library's own; false where there is none."""
+    system, name = _at(spark, path)
+    return system.delete(name, True)
