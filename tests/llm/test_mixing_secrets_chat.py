@@ -3,7 +3,10 @@
 import collections
 import hashlib
 import random
+import re
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,6 +53,49 @@ def test_rates_meet_targets_and_stay_nonnegative(spark, labelled):
     assert abs(mean - 1) < 0.1
 
 
+def test_rates_against_numpy_under_bounds(spark):
+    rng = np.random.default_rng(4)
+    n, tokens = 300, rng.integers(1, 400, 300).astype(float)
+    posterior = rng.dirichlet([0.4, 0.4, 0.4], n)
+    least = (posterior.argmax(axis=1) == 0).astype(float)
+    now = tokens @ posterior
+    for shares in ((1.1, 0.8, 0.6), (1.1, 0.5, 0.0)):  # the second asks for less than the bound allows
+        targets = now * np.array(shares)
+        rate, history = np.ones(n), []
+        best, since, factor = np.inf, 0, 1.0
+        for _ in range(mixing.STEPS):
+            totals = (rate * tokens) @ posterior
+            history.append(totals)
+            worst = mixing.misses(totals, targets).max()
+            since = 0 if worst < best * (1 - mixing.STALL_GAIN) else since + 1
+            factor = max(factor / 2, 1 / 16) if worst > best else min(1.0, factor * 2)
+            best = min(best, worst)
+            if worst <= mixing.TOLERANCE or since >= mixing.STALLED:
+                break
+            residual = totals - targets
+            free = (rate > least) | (posterior @ residual < 0)
+            h = (posterior * (tokens * free)[:, None]).T @ posterior
+            rate = np.maximum(least, rate - posterior @ (factor * np.linalg.solve(h + np.eye(3) * max(1e-9 * np.trace(h), 1e-9), residual)))
+        frame = spark.createDataFrame([(i, float(tokens[i]), [float(p) for p in posterior[i]], float(least[i])) for i in range(n)], "doc_id bigint, tokens double, posterior array<double>, least double")
+        got, steps = mixing.fit_rates(frame, [float(t) for t in targets])
+        assert len(steps) == len(history)
+        assert [r.rate for r in sorted(got.collect(), key=lambda r: r.doc_id)] == pytest.approx(rate.tolist(), abs=1e-6)
+        assert (mixing.misses(steps[-1], targets).max() <= mixing.TOLERANCE) == (shares[2] > 0)
+
+
+def test_reachable_targets_are_met_and_others_named(spark):
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = mixing.domains_of(spark.read.parquet(f"{SF_DIR}/labels.parquet"))
+    for shares in (mixing.MIXTURE, {"clean": 1.2, "low": 0.9, "toxic": 1.0}):
+        rows = mixing.mixed(documents, labels, shares).collect()
+        names = sorted(mixing.MIXTURE)
+        for k, name in enumerate(names):
+            now = sum(r.tokens * r.posterior[k] for r in rows)
+            gap = abs(sum(r.rate * r.tokens * r.posterior[k] for r in rows) - shares[name] * now) / (shares[name] * now)
+            assert (gap <= 0.01) == (name not in rows[0].unmet)
+    assert rows[0].unmet == []
+
+
 def test_residuals_fall(labelled):
     rows = mixing.worded(labelled).withColumn("posterior", F.array(*[(F.col("domain") == d).cast("double") for d in ("clean", "low", "toxic")])).drop("_words", "text")
     rows = common.stage(rows, common.scratch(rows.sparkSession, "test-rates"))
@@ -112,20 +158,72 @@ def test_forest_on_held_out_findings(spark):
     assert rows and sum(r.is_secret == bool(r.truth) for r in rows) >= 0.98 * len(rows)
 
 
+EDGES = "\"'`,;()[]{}<>"
+
+
+def brute_candidates(text):
+    """Word, number, value and what stands before it; key runs first, in words without one the value of a named secret or a known key."""
+    w = re.split("[\x20\x09-\x0d]+", text or "")
+    for i, x in enumerate(w):
+        before = w[i - 1] if i else ""
+        runs = list(re.finditer(r"[A-Za-z0-9+/_\-]{16,}", x))
+        for k, m in enumerate(runs):
+            start = runs[k - 1].start() if k else 0
+            yield i, k, m[0], x[start : m.start()], before, w[i + 1] if i + 1 < len(w) else ""
+        if runs or len(x) < 8 or not (len(x) >= 16 or re.search("[=:]", x) or re.search("[=:][\"'`]?$", before)):
+            continue
+        inner = re.match("^(.*?[=:][\"'`]?)([^=:\"'`].{7,})$", x)
+        lead = x[: len(x) - len(x.lstrip(EDGES))]
+        if inner and re.search(secret_scan.NAMES, inner[1]):
+            lead, value = inner[1], inner[2].strip(EDGES)
+        elif re.search("[=:][\"'`]?$", before) and re.search(secret_scan.NAMES, " ".join([w[i - 2] if i > 1 else "", before])):
+            value = x.strip(EDGES)
+        elif re.search(secret_scan.KEY_FORMS, x.lstrip(EDGES)):
+            value = x.strip(EDGES)
+        else:
+            continue
+        if len(value) >= 8:
+            yield i, 0, value, lead, before, w[i + 1] if i + 1 < len(w) else ""
+
+
+SECRETS = [
+    'password = "hunter2!x" next', "password='p@ss.w0rd#1', user", "api_key: abc12345 done", "pass: short", "token=abc", "see http://site.example/path now",
+    "AWS_SECRET_ACCESS_KEY=abcdefghijklmnop1234/ZZZ tail", "aaaaaaaaaaaaaaaaaaaa=bbbbbbbbbbbbbbbbbbbb=aaaaaaaaaaaaaaaaaaaa", "(sk_live_9a9a9a)", "name = value9999", "password =", "= password99",
+]
+
+
 def test_candidates_against_brute_force(spark, documents, no_documents):
-    import re
-
-    got = {(r.doc_id, r.word_no, r.run_no, r.value, r.prefix, r.before1, r.after) for r in secret_scan.candidates(documents).collect()}
-    expected = set()
-    for r in documents.collect():
-        w = re.split("[\x20\x09-\x0d]+", r.text or "")
-        for i, x in enumerate(w):
-            for k, m in enumerate(re.finditer(r"[A-Za-z0-9+/_\-]{16,}", x)):
-                expected.add((r.doc_id, i, k, m[0], x[: x.index(m[0])], w[i - 1] if i else "", w[i + 1] if i + 1 < len(w) else ""))
-    assert got == expected
+    more = spark.createDataFrame([(1000 + n, t, "a") for n, t in enumerate(SECRETS)], "doc_id bigint, text string, source string")
+    rows = documents.select("doc_id", "text", "source").unionByName(more)
+    got = sorted((tuple(r) for r in secret_scan.candidates(rows).select("doc_id", "word_no", "run_no", "value", "prefix", "before1", "after").collect()), key=str)
+    assert got == sorted(((r.doc_id, *c) for r in rows.collect() for c in brute_candidates(r.text)), key=str)
     assert secret_scan.candidates(no_documents).collect() == []
 
 
+def test_features_against_brute_force(spark):
+    kind = "value string, prefix string, before1 string, before2 string, after string"
+    values = ["abcABC123-_/", "aaaa", "Xy", "the-quick-brown-fox", "24be64439e3e49cf46b2d7c90f3602a3", "ünïcødé-value-99", "A" * 40]
+    found = spark.createDataFrame([(v, 'token="' if n % 2 else "x", "secret:" if n % 3 else "", "", "end") for n, v in enumerate(values)], kind)
+    known = ["the", "qui", "uic", "ick", "abc", "val", "alu"]
+    got = {r.value: r for r in secret_scan.described(found, spark.createDataFrame([(g,) for g in known], "gram string")).collect()}
+    for n, v in enumerate(values):
+        r, size, low = got[v], len(v), v.lower()
+        grams = [low[k : k + 3] for k in range(max(size - 2, 1))]
+        assert r.dictionary == pytest.approx(sum(g in known for g in grams) / len(grams))
+        runs = sum(len(re.findall(p, v)) for p in ("[a-z]+", "[A-Z]+", "[0-9]+", "[^a-zA-Z0-9]+"))
+        want = {"length": size, "n_lower": len(re.findall("[a-z]", v)) / size, "n_other": len(re.findall("[^a-zA-Z0-9]", v)) / size, "changes": (runs - 1) / size, "distinct_share": len(set(v)) / size, "next_length": 3}
+        assert {k: r[k] for k in want} == pytest.approx(want)
+        assert (r.named, r.assigned, r.quoted) == (float(n % 2 or n % 3 > 0), float(n % 2 or n % 3 > 0), float(n % 2))
+
+
+def test_a_run_of_a_megabyte_is_described_in_seconds(spark):
+    rows = spark.createDataFrame([(1, "key " + "abc123+/" * 131072 + " end", "a")], "doc_id bigint, text string, source string")
+    started = time.monotonic()
+    found = secret_scan.described(secret_scan.candidates(rows), spark.createDataFrame([("abc",)], "gram string")).first()
+    assert found.length == 1 << 20 and found.dictionary == pytest.approx(1 / 8, rel=1e-3)
+    assert time.monotonic() - started < 20
+
+
 def test_without_labels_no_forest(spark, documents):
     found = secret_scan.described(secret_scan.candidates(documents), secret_scan.dictionary(documents))
     rows = secret_scan.scored(found, found.limit(0).withColumn("label", F.lit(1))).collect()
@@ -134,9 +232,16 @@ def test_without_labels_no_forest(spark, documents):
     assert {r.is_secret for r in one} == {False}
 
 
-def test_op3_has_no_python_on_its_path(spark):
-    plan = queries.op3_forest_secrets(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
-    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+def test_op3_has_no_python_on_its_path(spark, monkeypatch):
+    plans, write = [], common.stage
+
+    def noted(df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, *rest)
+
+    monkeypatch.setattr(common, "stage", noted)
+    plans.append(queries.op3_forest_secrets(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) >= 5 and not any(word in plan for plan in plans for word in ("Python", "Pandas", "Arrow"))
 
 
 def brute_format(chosen, rejected):

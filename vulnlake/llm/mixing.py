@@ -6,8 +6,10 @@ projected-gradient least squares: each step is one aggregate of a few numbers pe
 every document moves its own rate along the residual and is cut off at its least rate: one for documents of a domain
 in ``KEEP`` (by their label, or else by their likeliest domain), zero for the others. The cut is part of every step, so
 the other documents make up for what the kept ones hold of a domain that is to shrink. Steps are preconditioned by tokens (a
-document's size) and by domain (the tokens it has now), so a few dozen suffice. Rates start at one, and the
-regularisation is the starting point: a document moves no further than the targets need.
+document's size) and by how the domains' totals answer to a step of the rows not held by their bound, one more aggregate,
+so a few suffice. Rates start at one, and the
+regularisation is the starting point: a document moves no further than the targets need. Each domain has to come near its own
+target; ``unmet`` names those that could not, because the bounds do not allow it.
 
 A rate is realised as ``floor(w)`` copies and one more with the probability of the rest, drawn from a hash of the id.
 
@@ -18,6 +20,7 @@ can be learned and every posterior is even; an empty table gives an empty result
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +39,13 @@ LEAST_DOCUMENTS = 4
 #: Labelled documents the classifier is fitted on, at most: those with the smallest hashes of the id.
 TRAIN_ROWS = 20_000
 WRITE_EVERY = 8
+STEPS = 60
+#: A target is met within this share of itself, or of ``LEAST_TARGET`` tokens if it is smaller.
+TOLERANCE = 5e-3
+LEAST_TARGET = 1.0
+#: So many steps without a gain of this share end the fit.
+STALLED = 6
+STALL_GAIN = 0.01
 #: The registered mixture: target tokens of each domain as a multiple of what it has.
 MIXTURE = {"clean": 1.1, "low": 0.5, "toxic": 0.1}
 #: Domains whose documents each stay at least once.
@@ -121,13 +131,19 @@ def least_rates(rows: DataFrame, labelled: DataFrame, domains: list[str], keep:
     return joined.withColumn("least", F.coalesce("_said", guess).cast("double")).drop("_labelled", "_said")
 
 
-def fit_rates(rows: DataFrame, targets: list[float], steps: int = 60, tolerance: float = 1e-3) -> tuple[DataFrame, list[list[float]]]:
+def misses(totals: list[float], targets: list[float]) -> np.ndarray:
+    """How far each domain is from its target, as a share of it; a target below a token counts as one token."""
+    return np.abs(np.array(totals, float) - np.array(targets, float)) / np.maximum(np.array(targets, float), LEAST_TARGET)
+
+
+def fit_rates(rows: DataFrame, targets: list[float], steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[DataFrame, list[list[float]]]:
     """Rates of ``rows`` (with ``tokens`` and ``posterior``) whose expected domain tokens match ``targets``.
 
     No rate falls below the row's ``least`` (zero where ``rows`` has no such column).
 
-    Also returns the domain totals at every step, the last those of the rates returned. ``tolerance`` is a share of
-    all tokens. A rate is a function of the residuals so far, so steps are chained as an expression; after
+    Also returns the domain totals at every step, the last those of the rates returned; :func:`misses` says how near
+    they are. It ends when every domain is within ``tolerance`` of its own target, after ``steps``, or when ``STALLED`` steps
+    have brought no gain, as when the bounds rule a target out. A rate is a function of the residuals so far, so steps are chained as an expression; after
     ``WRITE_EVERY`` of them the rates are written, so the expression stays short and a lost executor costs little.
     """
     d = len(targets)
@@ -137,28 +153,40 @@ def fit_rates(rows: DataFrame, targets: list[float], steps: int = 60, tolerance:
         return rows, [[]]
     has = F.col("tokens") > 0
     least = F.col("least") if "least" in rows.columns else F.lit(0.0)
+    held = lambda k: F.col("tokens") * F.col("posterior")[k]
+    total = lambda value: F.coalesce(F.sum(value), F.lit(0.0))
 
     def totals(frame: DataFrame) -> np.ndarray:
-        return np.array(frame.agg(*[F.coalesce(F.sum(F.col("rate") * F.col("tokens") * F.col("posterior")[k]), F.lit(0.0)) for k in range(d)]).first(), float)
-
-    cross = rows.agg(*[F.coalesce(F.sum(F.col("tokens") * F.col("posterior")[i] * F.col("posterior")[j]), F.lit(0.0)) for i in range(d) for j in range(d)]).first()
-    cross = np.array(cross, float).reshape(d, d)
-    natural = np.maximum(cross.sum(axis=1), 1.0)
-    scaled = cross / np.sqrt(np.outer(natural, natural))
-    step = 1.0 / max(float(np.linalg.eigvalsh(scaled).max()), 1e-12)
-    history = []
+        return np.array(frame.agg(*[total(F.col("rate") * held(k)) for k in range(d)]).first(), float)
+
+    def curvature(frame: DataFrame, residual: np.ndarray) -> np.ndarray:
+        """How the totals answer to a step, by the rows whose rates can follow it."""
+        pushed = sum((F.col("posterior")[k] * float(residual[k]) for k in range(d)), F.lit(0.0))
+        free = ((F.col("rate") > least) | (pushed < 0)).cast("double")
+        flat = frame.agg(*[total(free * held(i) * F.col("posterior")[j]) for i in range(d) for j in range(d)]).first()
+        return np.array(flat, float).reshape(d, d)
+
+    goal, history, best, since, factor = np.array(targets, float), [], np.inf, 0, 1.0
+    now = totals(rows)
     for n in range(steps):
-        now = totals(rows)
         history.append(now.tolist())
-        residual = now - np.array(targets)
-        if np.abs(residual).max() <= tolerance * natural.sum():
+        worst = float(misses(now, targets).max())
+        if worst <= tolerance:
+            return rows, history
+        since = 0 if worst < best * (1 - STALL_GAIN) else since + 1
+        factor = max(factor / 2, 1 / 16) if worst > best else min(1.0, factor * 2)
+        best = min(best, worst)
+        if since >= STALLED:
             return rows, history
-        pull = [float(step * r / m) for r, m in zip(residual, natural)]
-        move = sum((F.col("posterior")[k] * pull[k] for k in range(d)), F.lit(0.0))
+        residual = now - goal
+        h = curvature(rows, residual)
+        pull = factor * np.linalg.solve(h + np.eye(d) * max(1e-9 * np.trace(h), 1e-9), residual)
+        move = sum((F.col("posterior")[k] * float(pull[k]) for k in range(d)), F.lit(0.0))
         rows = rows.withColumn("rate", F.when(has, F.greatest(least, F.col("rate") - move)).otherwise(F.col("rate")))
         if n % WRITE_EVERY == WRITE_EVERY - 1:
             rows = C.stage(rows, f"{folder}/{n}")
-    history.append(totals(rows).tolist())
+        now = totals(rows)
+    history.append(now.tolist())
     return rows, history
 
 
@@ -167,7 +195,7 @@ def copies(rate: Column, key: str, seed: str = "mix") -> Column:
 
 
 def mixed(documents: DataFrame, labelled: DataFrame, shares: dict[str, float], train_rows: int = TRAIN_ROWS, keep: tuple[str, ...] = KEEP) -> DataFrame:
-    """Per document: ``doc_id``, ``tokens``, ``posterior``, ``least``, ``rate`` and ``copies``.
+    """Per document: ``doc_id``, ``tokens``, ``posterior``, ``least``, ``rate`` and ``copies``; ``unmet`` names the domains off target, alike in all rows.
 
     ``shares`` gives each domain's target as a multiple of the tokens it has now (1 where not named); documents of the
     domains in ``keep`` stay at least once each.
@@ -179,8 +207,12 @@ def mixed(documents: DataFrame, labelled: DataFrame, shares: dict[str, float], t
     d = len(classifier.domains)
     now = rows.agg(*[F.coalesce(F.sum(F.col("tokens") * F.col("posterior")[k]), F.lit(0.0)) for k in range(d)]).first() if d else []
     targets = [float(t) * shares.get(name, 1.0) for t, name in zip(now, classifier.domains)]
-    fitted, _ = fit_rates(rows, targets)
-    return fitted.withColumn("copies", copies(F.col("rate"), "doc_id"))
+    fitted, history = fit_rates(rows, targets)
+    off = [name for name, miss in zip(classifier.domains, misses(history[-1], targets)) if miss > TOLERANCE]
+    if off:
+        warnings.warn(f"mixture targets not met under the bounds: {off}", stacklevel=2)
+    unmet = F.array(*[F.lit(name) for name in off]).cast("array<string>")
+    return fitted.withColumn("copies", copies(F.col("rate"), "doc_id")).withColumn("unmet", unmet)
 
 
 def domains_of(labels: DataFrame) -> DataFrame:

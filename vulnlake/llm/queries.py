@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_soft_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posterior, rate and copies of every document under the target mixture of the labelled domains."""
     rows = mixing.mixed(table(spark, sf_dir, "documents"), mixing.domains_of(table(spark, sf_dir, "labels")), mixing.MIXTURE)
-    return rows.select("doc_id", "tokens", "posterior", "rate", "copies")
+    return rows.select("doc_id", "tokens", "posterior", "rate", "copies", "unmet")
 
 
 def op2_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,14 +39,14 @@ def op2_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_forest_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All secret candidates of all documents with the forest's verdict; values are given as digests only.
 
-    Labelled findings are those in documents of the labelled table, labelled by known key forms.
+    Labelled findings are those in documents of the labelled table that a rule labels; the others are left out of the fit.
     """
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     found = common.stage(secret_scan.candidates(documents), common.scratch(spark, "candidates"))
     grams = common.stage(secret_scan.dictionary(documents), common.scratch(spark, "dictionary"))
     findings = common.stage(secret_scan.described(found, grams), common.scratch(spark, "findings"))
     known = table(spark, sf_dir, "labels").select("doc_id").distinct()
-    labelled = findings.join(known, "doc_id", "left_semi").withColumn("label", secret_scan.rule_label())
+    labelled = findings.join(known, "doc_id", "left_semi").withColumn("label", secret_scan.rule_label()).where(F.col("label").isNotNull())
     out = secret_scan.scored(findings, labelled)
     return out.select(
         "doc_id", "word_no", "run_no", "path", F.length("value").alias("value_length"), F.sha2("value", 256).alias("value_sha256"),

@@ -92,39 +92,46 @@ def licenses() -> str:
     rows = [f"({n}, '{label}', {str(n < len(L.PHRASES)).lower()}, '{text.replace(chr(39), chr(39) * 2)}')" for n, (label, text) in enumerate([*L.PHRASES, *L.TEMPLATES])]
     words = lambda c: f"regexp_extract_all(translate({c}, '{UPPER}', '{LOWER}'), '{LICENSE_WORD}')"
     grams = lambda c: f"list_transform(range(1, len({c}) - {L.GRAM - 2}), lambda i: array_to_string(list_slice({c}, i, i + {L.GRAM - 1}), ' '))"
+    telling = lambda c: f"list_sort(list_filter({c}, lambda x: regexp_full_match(x, '[0-9]+|{'|'.join(L.FAMILY)}')))"
     return rf"""
     WITH t(template, label, phrase, text) AS (VALUES {", ".join(rows)}),
     tw AS (SELECT template, label, phrase, {words("text")} AS w FROM t),
-    tg AS (SELECT template, label, phrase, len(w) - {L.GRAM - 1} AS size, unnest({grams("w")}) AS gram, generate_subscripts({grams("w")}, 1) - 1 AS place FROM tw),
-    dw AS (SELECT doc_id, {words("coalesce(text, '')")} AS w FROM documents),
-    dg AS (SELECT doc_id, unnest({grams("w")}) AS gram, generate_subscripts({grams("w")}, 1) - 1 AS pos FROM dw WHERE len(w) >= {L.GRAM}),
-    voted AS (
-      SELECT doc_id, template, label, phrase, size, pos - place AS diagonal, count(*) AS votes, min(pos) AS first, max(pos) AS last
-      FROM dg JOIN tg USING (gram) GROUP BY ALL
-    ),
+    tt AS (SELECT template, label, phrase, len(w) AS size, {telling("w")} AS telling, w FROM tw),
+    tg AS (SELECT template, unnest({grams("w")}) AS gram, generate_subscripts({grams("w")}, 1) - 1 AS place FROM tt),
+    dw AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, {words("coalesce(text, '')")} AS w FROM documents),
+    dg AS (SELECT row, unnest({grams("w")}) AS gram, generate_subscripts({grams("w")}, 1) - 1 AS pos FROM dw WHERE len(w) >= {L.GRAM}),
+    voted AS (SELECT row, template, pos - place AS diagonal, list(place) AS places FROM dg JOIN tg USING (gram) GROUP BY ALL),
     marked AS (
-      SELECT *, CASE WHEN phrase THEN 1 WHEN coalesce(diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= {L.NEAR}, false) THEN 0 ELSE 1 END AS new
-      FROM voted
+      SELECT voted.*, label, phrase, size, telling,
+        CASE WHEN phrase THEN 1 WHEN coalesce(diagonal - lag(diagonal) OVER (PARTITION BY row, template ORDER BY diagonal) <= {L.NEAR}, false) THEN 0 ELSE 1 END AS new
+      FROM voted JOIN tt USING (template)
+    ),
+    numbered AS (SELECT *, sum(new) OVER (PARTITION BY row, template ORDER BY diagonal) AS span FROM marked),
+    held AS (
+      SELECT row, template, label, phrase, size, telling, span, unnest(places) AS place, diagonal FROM numbered
     ),
-    numbered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM marked),
     spans AS (
-      SELECT doc_id, template, label, phrase, size, span, sum(votes) AS votes, min(first) AS first, max(last) AS last FROM numbered GROUP BY ALL
+      SELECT row, template, label, phrase, size, telling, span, count(*) AS votes, min(place + diagonal) AS first, max(place + diagonal) + {L.GRAM} AS last,
+        len(list_distinct(flatten(list([place, place + 1, place + 2])))) AS covered,
+        len(list_distinct(flatten(list([place + diagonal, place + diagonal + 1, place + diagonal + 2])))) AS own
+      FROM held GROUP BY ALL
     ),
     judged AS (
-      SELECT *, least(1.0, votes::DOUBLE / size) AS coverage,
-        CASE WHEN phrase THEN votes = size ELSE least(1.0, votes::DOUBLE / size) >= {L.MIN_COVERAGE} AND votes >= {L.MIN_DENSITY} * (last - first + 1) END AS found
-      FROM spans
+      SELECT spans.*, covered::DOUBLE / size AS coverage, greatest(1, size // {L.WORDS_PER_EDIT}) AS edits,
+        CASE WHEN phrase THEN votes = size - {L.GRAM - 1}
+          ELSE size - covered <= {L.GRAM} * edits AND last - first - own <= edits AND {telling("list_slice(w, first + 1, last)")} = telling END AS found
+      FROM spans JOIN dw USING (row)
     ),
     summed AS (
-      SELECT doc_id, count(*) FILTER (WHERE phrase AND found) AS n_base, min(first) FILTER (WHERE phrase AND found) AS first_word,
+      SELECT row, count(*) FILTER (WHERE phrase AND found) AS n_base, min(first) FILTER (WHERE phrase AND found) AS first_word,
         max(first) FILTER (WHERE phrase AND found) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE phrase AND found) AS base_labels,
         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE found) AS labels, max(coverage) FILTER (WHERE found) AS score,
         count(*) FILTER (WHERE found) AS n_spans
-      FROM judged GROUP BY doc_id
+      FROM judged GROUP BY row
     )
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0.0) AS DOUBLE) AS score, coalesce(n_spans, 0) AS n_spans
-    FROM dw LEFT JOIN summed USING (doc_id)
+    FROM dw LEFT JOIN summed USING (row)
     """
 
 
