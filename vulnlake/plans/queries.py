@@ -336,31 +336,40 @@ def q_star_orphans(spark, sf_dir):
     return found
 
 
-def built_warehouse(spark: SparkSession, sf_dir: str) -> str:
-    """The warehouse over a loaded catalog table, built anew in a database of its own; returns the database."""
+def from_warehouse(spark: SparkSession, sf_dir: str, answer: Callable[[str], DataFrame]) -> DataFrame:
+    """An answer of the warehouse over a loaded catalog table, built in a database of its own, which is dropped again."""
     name = f"star_{uuid.uuid4().hex}"
     tables.create_database(spark, name)
-    loaded(spark, sf_dir).write.saveAsTable(f"{name}.cleaned")
-    warehouse.build_warehouse(spark, f"{name}.cleaned", name, ids.portable_key)
-    return name
+    try:
+        loaded(spark, sf_dir).write.saveAsTable(f"{name}.cleaned")
+        warehouse.build_warehouse(spark, f"{name}.cleaned", name, ids.portable_key)
+        out = answer(name)
+        folder = stored.work(spark, "warehouse")
+        out.write.parquet(folder)
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+    return spark.read.schema(out.schema).parquet(folder)
 
 
 @query
 def q_star_tables(spark, sf_dir):
     """The written star, joined: the same figures as from the lazy one."""
-    return warehouse.star_members(spark, built_warehouse(spark, sf_dir)).withColumn("year", F.col("year").cast("bigint"))
+    return from_warehouse(spark, sf_dir, lambda name: warehouse.star_members(spark, name).withColumn("year", F.col("year").cast("bigint")))
 
 
 @query
 def q_load_verify(spark, sf_dir):
     """Figures of the written tables and views."""
-    name = built_warehouse(spark, sf_dir)
-    counts = spark.sql(f"""SELECT (SELECT count(*) FROM {name}.fact_cve) AS facts, (SELECT count(*) FROM {name}.dim_vendor) AS vendors,
-        (SELECT count(*) FROM {name}.dim_product) AS products, (SELECT count(*) FROM {name}.dim_severity) AS severities,
-        (SELECT count(*) FROM {name}.dim_date) AS dates, (SELECT count(*) FROM {name}.monthly_overview) AS months,
-        (SELECT sum(cve_count) FROM {name}.severity_share) AS shared, (SELECT sum(cve_count) FROM {name}.vendor_counts) AS named,
-        (SELECT duplicate_cve_id FROM {name}.data_quality) AS duplicates""")
-    return quality.long_form(counts)
+
+    def figures(name: str) -> DataFrame:
+        counts = spark.sql(f"""SELECT (SELECT count(*) FROM {name}.fact_cve) AS facts, (SELECT count(*) FROM {name}.dim_vendor) AS vendors,
+            (SELECT count(*) FROM {name}.dim_product) AS products, (SELECT count(*) FROM {name}.dim_severity) AS severities,
+            (SELECT count(*) FROM {name}.dim_date) AS dates, (SELECT count(*) FROM {name}.monthly_overview) AS months,
+            (SELECT sum(cve_count) FROM {name}.severity_share) AS shared, (SELECT sum(cve_count) FROM {name}.vendor_counts) AS named,
+            (SELECT duplicate_cve_id FROM {name}.data_quality) AS duplicates""")
+        return quality.long_form(counts)
+
+    return from_warehouse(spark, sf_dir, figures)
 
 
 # ---------------------------------------------------------------- loading
