@@ -5,7 +5,6 @@ from __future__ import annotations
 import ctypes
 import gc
 import hashlib
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -14,21 +13,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vulnlake.session import work_dir
+
 WHITE = r"\x20\x09-\x0D"
 SUB_BUCKETS = 4096
 
-_own: dict[str, str] = {}
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only where that setting is absent (a local session) a temporary folder takes its place.
+    Only a local session may do without that setting: a temporary folder takes its place.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = _own.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="run-"))
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, path: str, file_rows: int = 0) -> DataFrame:
