@@ -235,8 +235,7 @@ def q_stream_ledger(spark, sf_dir):
     """Sums of the ledger and rows of the quarantine over the same three runs."""
     sink = ingested(spark, sf_dir)
     ledger = spark.read.parquet(f"{sink}/ledger").agg(*[F.sum(c).alias(c) for c in streams.LEDGER_COUNTS])
-    aside = spark.read.parquet(f"{sink}/quarantine").agg(F.count(F.lit(1)).alias("quarantined"))
-    return ledger.join(aside)  # one row each
+    return ledger.withColumn("quarantined", F.lit(spark.read.parquet(f"{sink}/quarantine").count()).cast("bigint"))
 
 
 @query
@@ -260,5 +259,6 @@ def q_stream_replay(spark, sf_dir):
     streams.finish(streams.start_replay(spark, f"{folder}/cleaned", f"{folder}/in", f"{folder}/replayed", f"{folder}/ledger"))
     consumed(spark, folder)
     stored = streams.stored_events(spark, f"{folder}/sink/events")
-    counts = spark.read.parquet(f"{folder}/ledger").agg(F.sum("sent").alias("sent"), F.sum("skipped").alias("skipped"))
-    return stored.select("cve_id", "severity", "cvss_score", "vendor", ids.is_uuid4(F.col("event_id")).alias("has_id")).join(counts)  # one row
+    counts = spark.read.parquet(f"{folder}/ledger").agg(F.sum("sent").alias("sent"), F.sum("skipped").alias("skipped")).first()
+    shown = stored.select("cve_id", "severity", "cvss_score", "vendor", ids.is_uuid4(F.col("event_id")).alias("has_id"))
+    return shown.withColumns({name: F.lit(counts[name]).cast("bigint") for name in ("sent", "skipped")})
