@@ -34,6 +34,8 @@ GRAM = 3
 BROADCAST_GRAMS = 200_000
 NEAR = 3
 WORDS_PER_EDIT = 12
+#: Bytes of text handled at once in a task, but for one longer text: a k-gram with its sums takes 24.
+CHUNK = 1 << 20
 
 WORD_BYTES = bytes([*range(48, 58), *range(97, 123), *range(128, 256)])
 DIGITS = bytes(range(48, 58))
@@ -100,7 +102,7 @@ def grams(df: DataFrame, key: str, text: str, size: int = GRAM) -> DataFrame:
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            for first, end, data, at in C.text_chunks(batch, text):
+            for first, end, data, at in C.text_chunks(batch, text, CHUNK):
                 words, owner, marks = _words(data, at)
                 hashes, place = C.windows(words, owner, size)
                 before, after = _sums(marks, place, size)
