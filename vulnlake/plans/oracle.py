@@ -638,6 +638,27 @@ SQL |= {
         select=f"""SELECT cve_id, last_modified, vuln_status, severity, cast(substr(cve_id, 5, 4) AS bigint) AS id_year,
   cast(date_diff('day', cast(published_ts AS date), DATE '2002-01-01') AS bigint) AS days_since_published
 FROM ({NEWEST_STAMPED.format("WHERE k % 4 <> 2")})""",
+    ),
+    "incremental_marts": w(
+        RECORDS, NESTED, STAMPED, f"kept AS (SELECT {CLEANED} FROM ({NEWEST_STAMPED.format('')}))",
+        select="""SELECT 'monthly_overview' AS mart, year, month, count(*) AS total_cves, count(*) FILTER (WHERE severity = 'HIGH') AS high_cves,
+  count(*) FILTER (WHERE severity = 'CRITICAL') AS critical_cves, count(*) FILTER (WHERE cvss_score IS NULL) AS missing_cvss,
+  NULL AS severity, NULL AS cve_count, NULL AS share_pct, NULL AS total_rows, NULL AS distinct_cve_id, NULL AS missing_vendor, NULL AS missing_product,
+  NULL AS duplicate_cve_id, NULL AS vendor, NULL AS distinct_cve_count, NULL AS cvss_version FROM kept GROUP BY year, month
+UNION ALL BY NAME SELECT 'severity_share' AS mart, coalesce(nullif(severity, ''), 'MISSING') AS severity, count(*) AS cve_count,
+  cast(round(count(*) * 100.0 / sum(count(*)) OVER (), 2) AS double) AS share_pct FROM kept GROUP BY 2
+UNION ALL BY NAME SELECT 'data_quality' AS mart, count(*) AS total_rows, count(DISTINCT cve_id) AS distinct_cve_id, count(*) - count(DISTINCT cve_id) AS duplicate_cve_id,
+  count(*) FILTER (WHERE cvss_score IS NULL) AS missing_cvss, count(*) FILTER (WHERE coalesce(vendor, '') = '') AS missing_vendor,
+  count(*) FILTER (WHERE coalesce(product, '') = '') AS missing_product FROM kept
+UNION ALL BY NAME SELECT 'vendor_counts' AS mart, vendor, count(*) AS cve_count, count(DISTINCT cve_id) AS distinct_cve_count
+  FROM kept WHERE vendor <> '' GROUP BY vendor
+UNION ALL BY NAME SELECT 'version_counts' AS mart, coalesce(cvss_version, 'NONE') AS cvss_version, count(*) AS cve_count FROM kept GROUP BY 2""",
+    ),
+    "incremental_star": w(
+        RECORDS, NESTED, STAMPED, f"kept AS (SELECT {CLEANED} FROM ({NEWEST_STAMPED.format('')}))",
+        select=f"""SELECT {_fallback('vendor', 'UNKNOWN')} AS vendor, {_fallback('severity', 'MISSING')} AS severity, year, count(*) AS facts,
+  count(DISTINCT {_fallback('product', 'UNKNOWN')}) AS products, count(cvss_score) AS scored, cast(sum(severity_rank) AS bigint) AS ranks,
+  cast(sum(days_since_published) AS bigint) AS days FROM kept GROUP BY 1, 2, 3""",
     ),
     "cleaned_roundtrip": w(
         RECORDS, NESTED, STAMPED, f"newest AS ({NEWEST_STAMPED.format('')})", f"shown AS (SELECT {CLEANED}, count(*) OVER () AS \"of\" FROM newest)",

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from vulnlake.functions import ids
 from vulnlake.operators import flatten, incremental, runlog, windows
-from vulnlake.plans import jobs
+from vulnlake.operators import star
+from vulnlake.plans import jobs, refresh
 from vulnlake.plans import records as R
 from vulnlake.schemas import CLEANED_COLUMNS, CLEANED_SCHEMA, RAW_COLUMN, RECORD_SCHEMA
 from vulnlake.session import remove_path, work_dir
@@ -155,6 +156,42 @@ def q_incremental_landing(spark, sf_dir):
     return widen(incremental.scan_base(spark, base, F.lit(AS_OF)).select("cve_id", "last_modified", "vuln_status", "severity", "id_year", "days_since_published"))
 
 
+def refreshed(spark: SparkSession, sf_dir: str) -> str:
+    """A warehouse brought up after each of three landings, which bring new versions of ids that are there, and new ids."""
+    folder = work(spark, "refresh")
+    rows, store = parsed(stamped(spark, sf_dir)), f"{folder}/warehouse"
+    late = F.col("_order_no") % 5 == 0
+    incremental.init_base(spark, f"{folder}/base", buckets=4)
+    for n, chosen in enumerate(((F.col("_line_no") % 2 == 1) & ~late, (F.col("_line_no") % 2 == 0) & ~late, late), start=1):
+        feed.land_bronze(rows.filter(chosen), f"{folder}/bronze", batch=f"batch {n}")
+        day = datetime(2002, 1, n, tzinfo=timezone.utc)
+        jobs.run_incremental(spark, f"{folder}/bronze", f"{folder}/base", f"{folder}/control", f"{folder}/run{n}", day, as_of=F.lit(AS_OF), warehouse=store)
+    return store
+
+
+@query
+def q_incremental_marts(spark, sf_dir):
+    """All marts of a warehouse kept up over three increments, one under the other."""
+    store = refreshed(spark, sf_dir)
+    kept = [refresh.monthly_overview, refresh.severity_share, refresh.data_quality, refresh.vendor_counts, refresh.version_counts]
+    out = kept[0](spark, store).withColumn("mart", F.lit(kept[0].__name__))
+    for mart in kept[1:]:
+        out = out.unionByName(mart(spark, store).withColumn("mart", F.lit(mart.__name__)), allowMissingColumns=True)
+    return widen(out)
+
+
+@query
+def q_incremental_star(spark, sf_dir):
+    """Facts of a warehouse kept up over three increments, by members of its dimensions."""
+    store = refreshed(spark, sf_dir)
+    joined = star.star_join(refresh.scan_facts(spark, store, F.lit(AS_OF)), refresh.dims(spark, store))
+    by = joined.groupBy("vendor", "severity", "year").agg(
+        F.count(F.lit(1)).alias("facts"), F.count_distinct("product").alias("products"),
+        F.count("cvss_score").alias("scored"), F.sum("severity_rank").alias("ranks"), F.sum("days_since_published").alias("days"),
+    )
+    return widen(by)
+
+
 @query
 def q_cleaned_roundtrip(spark, sf_dir):
     """The newest cleaned rows written as Parquet and as CSV, and both read back."""
