@@ -4,9 +4,13 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from vulnlake.functions.sources import source_type
+from vulnlake.functions.text import is_blank
+from vulnlake.operators import incremental
 from vulnlake.plans import stored
-from vulnlake.schemas import RAW_COLUMN
+from vulnlake.schemas import CLEANED_SCHEMA, RAW_COLUMN
 from vulnlake.sources import feed
+from vulnlake.sources.tables import align_to_schema
 
 FLAT = (
     "cve_id string, published date, last_modified date, order_no bigint, line_no bigint, part_no bigint, supp_no bigint, price double, "
@@ -38,3 +42,27 @@ def test_text_alone_lands_as_parsed_records_do(spark, tmp_path, monkeypatch):
     feed.land_bronze(stored.parsed(rows).drop(*[c for c in rows.columns if c.startswith("_")]), str(tmp_path / "b"), cluster=True)
     a, b = feed.scan_bronze(spark, str(tmp_path / "a")).drop("landed", "version"), feed.scan_bronze(spark, str(tmp_path / "b")).drop("landed", "version")
     assert a.count() == 1202 and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_a_merge_deals_a_large_folder_over_tasks(spark, tmp_path):
+    rows = [(f"CVE-2024-{n}", "2026-01-01T00:00:00", f"text {n}") for n in range(400)]
+    cleaned = align_to_schema(spark.createDataFrame(rows, "cve_id string, last_modified string, description_en string"), CLEANED_SCHEMA)
+    incremental.init_base(spark, str(tmp_path / "base"), buckets=1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        incremental.merge_increment(spark, str(tmp_path / "base"), cleaned)
+        incremental.merge_increment(spark, str(tmp_path / "base"), cleaned.withColumn("last_modified", F.lit("2026-02-01T00:00:00")))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    base = incremental.scan_base(spark, str(tmp_path / "base"), F.lit(date(2026, 3, 1)))
+    assert base.count() == 400 and base.filter("last_modified LIKE '2026-02%'").select("cve_id").distinct().count() == 400
+    assert all(len(list(f.glob("*.parquet"))) > 1 for f in (tmp_path / "base").glob("version=*/id_year=2024/bucket=0"))
+
+
+def test_source_types_and_blanks_without_patterns_and_trims(spark):
+    texts = [None, "", "   ", " ", " a", "~", "\x7f", "a", "desk@x.gov", " desk@x.GOV.UK ", "gov", "x.gov.us", "my-CERT@x.de", "secure@cisco.com", "é"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string").select(source_type(F.col("v")).alias("t"), is_blank(F.col("v")).alias("b"))
+    assert [r["b"] for r in df.collect()] == [True] * 4 + [False] * 11
+    national = {"desk@x.gov", " desk@x.GOV.UK ", "my-CERT@x.de"}
+    assert [r["t"] == "cert_national" for r in df.collect()] == [t in national for t in texts]
+    assert "RLIKE" not in df._jdf.queryExecution().optimizedPlan().toString().upper()
