@@ -1,12 +1,13 @@
 """What the stored queries move and keep: compact feed files and bronze, and the sort of a landing."""
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
 from vulnlake.functions.sources import source_type
 from vulnlake.functions.text import is_blank
 from vulnlake.operators import incremental
+from vulnlake.plans import records as R
 from vulnlake.plans import stored
 from vulnlake.schemas import CLEANED_SCHEMA, RAW_COLUMN
 from vulnlake.sources import feed
@@ -66,3 +67,15 @@ def test_source_types_and_blanks_without_patterns_and_trims(spark):
     national = {"desk@x.gov", " desk@x.GOV.UK ", "my-CERT@x.de"}
     assert [r["t"] == "cert_national" for r in df.collect()] == [t in national for t in texts]
     assert "RLIKE" not in df._jdf.queryExecution().optimizedPlan().toString().upper()
+
+
+def test_events_of_one_row_group_are_built_by_several_tasks(spark, tmp_path):
+    day = datetime(2024, 1, 2, 3, 4, 5)
+    rows = [(n, day, n % 9, "error", 1.0, "{}") for n in range(60)]
+    df = spark.createDataFrame(rows, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string")
+    df.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    messages = R.messages(spark, str(tmp_path)).withColumn("task", F.spark_partition_id()).collect()
+    assert len({r["task"] for r in messages}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = [("events", n % 4, 2 * n, n) for n in range(60)]
+    again = [("events", 0 if n % 2 else n % 4, 2 * n + 1, n) for n in range(0, 60, 3)]
+    assert sorted((r["topic"], r["partition"], r["offset"], r["n"]) for r in messages) == sorted(first + again)
