@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from vulnlake.functions.sources import source_type
 from vulnlake.functions.text import is_blank
-from vulnlake.operators import incremental
+from vulnlake.functions.ids import is_valid_id
+from vulnlake.operators import dedupe, incremental
+from vulnlake.operators.flatten import transform
+from vulnlake.plans import jobs, stored
 from vulnlake.plans import records as R
-from vulnlake.plans import stored
 from vulnlake.schemas import CLEANED_SCHEMA, RAW_COLUMN
 from vulnlake.sources import feed
 from vulnlake.sources.tables import align_to_schema
@@ -79,3 +81,40 @@ def test_events_of_one_row_group_are_built_by_several_tasks(spark, tmp_path):
     first = [("events", n % 4, 2 * n, n) for n in range(60)]
     again = [("events", 0 if n % 2 else n % 4, 2 * n + 1, n) for n in range(0, 60, 3)]
     assert sorted((r["topic"], r["partition"], r["offset"], r["n"]) for r in messages) == sorted(first + again)
+
+
+def versioned(spark, tmp_path):
+    """Flat rows of few ids: several versions each, ties that differ in content, whole copies, malformed and absent ids."""
+    ids = ["CVE-1997-1", "CVE-1997-2", "CVE-1997-3", "CVE-97-4", None]
+    rows = [
+        (ids[k % 5], date(1997, 3, 1), date(1997, 3, 1 + k % 4) if k % 5 != 2 else None, k, k % 3, k % 50, k % 7, 1.5, k % 90 / 10, "HIGH", "3.1", f"v{k % 9}", f"p {k % 50}", "cve@mitre.org")
+        for k in range(200)
+    ]
+    spark.createDataFrame([*rows, *rows[:9]], FLAT).write.parquet(str(tmp_path / "flat"))
+    return R.nest(spark.read.schema(FLAT).parquet(str(tmp_path / "flat")))
+
+
+def test_only_records_of_the_newest_version_are_built(spark, tmp_path):
+    records = versioned(spark, tmp_path)
+    dedupe.newest_versions(records, "id", "lastModified").write.parquet(str(tmp_path / "versions"))
+    versions = spark.read.parquet(str(tmp_path / "versions"))
+    assert {(r["_key"], r["_version"] and r["_version"].day, r["_rows"]) for r in versions.collect()} == {
+        ("CVE-1997-1", 4, 42), ("CVE-1997-2", 4, 42), ("CVE-1997-3", None, 42), (None, 4, 83),
+    }
+    newest = dedupe.newest_only(records, versions, "id", "lastModified")
+    assert {r["id"]: r["n"] for r in newest.groupBy("id").agg(F.count("*").alias("n")).collect()}["CVE-1997-3"] == 42  # no version can be read: all stay
+    assert {r[0][:10] for r in newest.filter("id != 'CVE-1997-3'").select("lastModified").collect()} == {"1997-03-04"}
+    # The filter sinks below the projection that nests a record.
+    plan = transform(newest, F.lit(date(2002, 1, 1)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "cvssMetricV31" not in plan[plan.index("LeftSemi") :] and "cpe:2.3:a:" not in plan[plan.index("LeftSemi") :]
+
+
+def test_the_cleaned_layer_is_that_of_all_records(spark, tmp_path):
+    records, as_of = versioned(spark, tmp_path), F.lit(date(2002, 1, 1))
+    report = jobs.clean_records(spark, records, str(tmp_path / "out"), as_of, csv=False)
+    assert (report["input_records"], report["records_dropped_invalid_cve_id"], report["output_records"], report["duplicate_records_removed"]) == (209, 83, 3, 123)
+    whole = dedupe.latest_records(transform(records.filter(is_valid_id(F.col("id"))), as_of)).drop("vendor_source")
+    out = spark.read.parquet(str(tmp_path / "out/cleaned.parquet")).select(*whole.columns)
+    assert out.count() == 3 and out.exceptAll(whole).isEmpty() and whole.exceptAll(out).isEmpty()
+    empty = jobs.clean_records(spark, records.limit(0), str(tmp_path / "none"), as_of, csv=False)
+    assert (empty["input_records"], empty["output_records"], empty["duplicate_records_removed"]) == (0, 0, 0)
