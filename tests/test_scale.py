@@ -9,7 +9,7 @@ from vulnlake.functions.text import is_blank
 from vulnlake.functions.ids import is_valid_id
 from vulnlake.operators import dedupe, incremental
 from vulnlake.operators.flatten import transform
-from vulnlake.plans import jobs, stored
+from vulnlake.plans import jobs, queries, stored
 from vulnlake.plans import records as R
 from vulnlake.schemas import CLEANED_SCHEMA, RAW_COLUMN
 from vulnlake.sources import feed
@@ -118,3 +118,12 @@ def test_the_cleaned_layer_is_that_of_all_records(spark, tmp_path):
     assert out.count() == 3 and out.exceptAll(whole).isEmpty() and whole.exceptAll(out).isEmpty()
     empty = jobs.clean_records(spark, records.limit(0), str(tmp_path / "none"), as_of, csv=False)
     assert (empty["input_records"], empty["output_records"], empty["duplicate_records_removed"]) == (0, 0, 0)
+
+
+def test_row_reconcile_deals_ids_over_parts_that_grow_with_the_table(spark, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    few = queries.q_row_reconcile(spark, folder)
+    monkeypatch.setattr(R, "ROWS_PER_PART", 500)
+    many, parts = queries.q_row_reconcile(spark, folder), -(-R.table(spark, folder, "lineitem").count() // 500)
+    assert parts > 4 and f", {parts})" in many._jdf.queryExecution().optimizedPlan().toString() + many._jdf.queryExecution().executedPlan().toString()
+    assert few.count() > 0 and few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty()

@@ -410,8 +410,11 @@ def q_load_reconcile(spark, sf_dir):
 
 @query
 def q_row_reconcile(spark, sf_dir):
-    """Rows by first and by newest version: what each side has alone."""
-    df = valid_records(spark, sf_dir).select("cve_id", "last_modified", *R.TIES)
+    """Rows by first and by newest version: what each side has alone.
+
+    Rows are dealt by id once, for both sides and their comparison, over a number of parts that grows with the table.
+    """
+    df = valid_records(spark, sf_dir).select("cve_id", "last_modified", *R.TIES).repartition(R.parts(spark, sf_dir), "cve_id")
     first = dedupe.first_per(df, ["cve_id"], [F.col("last_modified"), *R.ties()])
     newest = dedupe.latest_wins(df, "cve_id", F.col("last_modified"), R.ties())
     columns = ["cve_id", *ROW]
