@@ -11,9 +11,11 @@ from vulnlake.operators import dedupe, incremental
 from vulnlake.operators.flatten import transform
 from vulnlake.plans import jobs, queries, stored
 from vulnlake.plans import records as R
-from vulnlake.schemas import CLEANED_SCHEMA, RAW_COLUMN
+from vulnlake.schemas import CLEANED_SCHEMA, EVENT_COLUMNS, RAW_COLUMN
 from vulnlake.sources import feed
 from vulnlake.sources.tables import align_to_schema
+from vulnlake.streaming import jobs as streams
+from vulnlake.streaming import routing
 
 FLAT = (
     "cve_id string, published date, last_modified date, order_no bigint, line_no bigint, part_no bigint, supp_no bigint, price double, "
@@ -127,3 +129,29 @@ def test_row_reconcile_deals_ids_over_parts_that_grow_with_the_table(spark, monk
     many, parts = queries.q_row_reconcile(spark, folder), -(-R.table(spark, folder, "lineitem").count() // 500)
     assert parts > 4 and f", {parts})" in many._jdf.queryExecution().optimizedPlan().toString() + many._jdf.queryExecution().executedPlan().toString()
     assert few.count() > 0 and few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty()
+
+
+def event_table(spark, tmp_path, n=240):
+    day = datetime(2024, 1, 2, 3, 4, 5)
+    rows = [(k, day, k % 9, "error", 1.0, "{}") for k in range(n)]
+    df = spark.createDataFrame(rows, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string")
+    df.write.parquet(str(tmp_path / "events.parquet"))
+
+
+def test_messages_are_moved_and_kept_as_their_text(spark, tmp_path):
+    event_table(spark, tmp_path)
+    folder = tmp_path / "stream"
+    stored.sent(spark, str(tmp_path), f"{folder}/in", F.lit(True), "1")
+    assert list(folder.rglob("*.json.gz")) and not list(folder.rglob("*.json"))
+    assert not stored.consumed(spark, str(folder))
+    staged = spark.read.parquet(*[str(f) for f in (folder / "sink/_staged").iterdir()])
+    assert {c for c in staged.columns if c.startswith("_")} == {"_event_id", "_place"}
+    routed = routing.route(R.messages(spark, str(tmp_path)).drop("n"))
+    first = dedupe.first_per(routed.filter("kind = 'valid'"), ["_event_id"], [F.col("partition"), F.col("offset")])
+    columns = [*EVENT_COLUMNS, "kafka_topic", "kafka_partition", "kafka_offset"]
+    expected = routing.routed_events(first).select(*columns)
+    found = streams.stored_events(spark, f"{folder}/sink/events").select(*columns)
+    assert found.count() > 100 and found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+    aside = spark.read.parquet(f"{folder}/sink/quarantine").select("value", "kind", "errors")
+    bad = routed.filter("kind != 'valid'").select("value", "kind", "errors")
+    assert aside.count() > 10 and aside.exceptAll(bad).isEmpty() and bad.exceptAll(aside).isEmpty()
