@@ -11,7 +11,7 @@ from vulnlake.operators import dedupe, incremental
 from vulnlake.operators.flatten import transform
 from vulnlake.plans import jobs, queries, stored
 from vulnlake.plans import records as R
-from vulnlake.schemas import CLEANED_SCHEMA, EVENT_COLUMNS, RAW_COLUMN
+from vulnlake.schemas import CLEANED_SCHEMA, EVENT_COLUMNS, RAW_COLUMN, RECORD_SCHEMA
 from vulnlake.sources import feed
 from vulnlake.sources.tables import align_to_schema
 from vulnlake.streaming import jobs as streams
@@ -155,3 +155,14 @@ def test_messages_are_moved_and_kept_as_their_text(spark, tmp_path):
     aside = spark.read.parquet(f"{folder}/sink/quarantine").select("value", "kind", "errors")
     bad = routed.filter("kind != 'valid'").select("value", "kind", "errors")
     assert aside.count() > 10 and aside.exceptAll(bad).isEmpty() and bad.exceptAll(aside).isEmpty()
+
+
+def test_typed_records_beside_their_text_are_cast_not_parsed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stored.R, "records", lambda *_: flat(spark).unionByName(spark.createDataFrame([(None,) * 14, ('CVE-1997-"9\n', None, None, 9, *[None] * 10)], FLAT)))
+    for rows in (stored.tagged(spark, ""), stored.stamped(spark, "")):
+        cast = stored.parsed(rows)
+        assert "from_json" not in cast._jdf.queryExecution().optimizedPlan().toString()
+        own = [c for c in rows.columns if c.startswith("_")]
+        read = cast.select(F.from_json(RAW_COLUMN, RECORD_SCHEMA).alias("r"), RAW_COLUMN, *own).select("r.*", RAW_COLUMN, *own)
+        assert cast.dtypes == read.dtypes and cast.count() == 1204
+        assert cast.exceptAll(read).isEmpty() and read.exceptAll(cast).isEmpty()
