@@ -1,5 +1,6 @@
 """What the stored queries move and keep: compact feed files and bronze, and the sort of a landing."""
 
+import gzip
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -166,3 +167,11 @@ def test_typed_records_beside_their_text_are_cast_not_parsed(spark, tmp_path, mo
         read = cast.select(F.from_json(RAW_COLUMN, RECORD_SCHEMA).alias("r"), RAW_COLUMN, *own).select("r.*", RAW_COLUMN, *own)
         assert cast.dtypes == read.dtypes and cast.count() == 1204
         assert cast.exceptAll(read).isEmpty() and read.exceptAll(cast).isEmpty()
+
+
+def test_feed_files_are_written_at_the_fastest_level(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stored.R, "records", lambda *_: flat(spark))
+    stored.written_feed(spark, "", str(tmp_path / "feed"))
+    files = list((tmp_path / "feed").rglob("*.gz"))
+    texts = [gzip.decompress(f.read_bytes()) for f in files]
+    assert len(files) == 3 and sum(f.stat().st_size for f in files) > 1.1 * sum(len(gzip.compress(t, 6)) for t in texts)
